@@ -19,6 +19,7 @@ empty result.  Sets are compared by 64-bit hashes of n-grams and of sets.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,18 +45,20 @@ class SizeClasses:
     def __init__(self, percent: int) -> None:
         self.percent, self.first, self.last = percent, [1], []
 
+    def _extend(self) -> None:
+        low = self.first[-1]
+        self.last.append(low * 100 // self.percent)
+        self.first.append(self.last[-1] + 1)
+
     def of(self, n: int) -> int:
         while not self.last or self.last[-1] < n:
-            low = self.first[-1]
-            self.last.append(low * 100 // self.percent)
-            self.first.append(self.last[-1] + 1)
-        return int(np.searchsorted(self.last, n))
+            self._extend()
+        return bisect.bisect_left(self.last, n)
 
     def fragments(self, tag: int) -> int:
         """One more than the most n-grams in which two sets that use this class can differ."""
-        self.of(self.first[-1])
         while len(self.last) <= tag:
-            self.of(self.first[-1])
+            self._extend()
         return 2 * self.last[tag] * (100 - self.percent) // (100 + self.percent) + 1
 
 
