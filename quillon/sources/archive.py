@@ -229,7 +229,7 @@ class FrameStream(DataSourceStreamReader):
     """Frames of one container as micro-batches; the offset is the number of frames."""
 
     def __init__(self, options: dict) -> None:
-        self.path, self.step = options["path"], int(options.get("framesPerBatch", "4"))
+        self.path, self.step = options["path"], int(options.get("framesPerBatch", "0"))
         self.at = 0
 
     def _bodies(self) -> list:
@@ -241,7 +241,8 @@ class FrameStream(DataSourceStreamReader):
         return {"frames": 0}
 
     def latestOffset(self) -> dict:
-        self.at = min(len(self._bodies()), self.at + self.step)
+        count = len(self._bodies())
+        self.at = min(count, self.at + self.step) if self.step else count
         return {"frames": self.at}
 
     def partitions(self, start: dict, end: dict) -> list:
@@ -300,7 +301,7 @@ def decode_column(df: DataFrame, content: str = "content", ceiling: int = wire.D
     """
     fields = df.schema
     place = df.columns.index(content)
-    out = StructType([*fields.fields]).add("decoded", "binary").add("stats", "struct<original:bigint,compressed:bigint,io:bigint>")
+    out = StructType([*fields.fields, *StructType.fromDDL("decoded binary, stats struct<original:bigint,compressed:bigint,io:bigint>").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -252,7 +252,8 @@ def bundle(entries: list[tuple[str, bytes]]) -> bytes:
         if not codecs.safe_name(name):
             raise wire.ArchiveError("unsafe entry name")
     manifest = json.dumps([{"name": n} for n, _ in entries]).encode()
-    return wire.whole(12, {"manifest": manifest} | {f"e{i}": b for i, (_, b) in enumerate(entries)}, {f"e{i}": wire.STORED for i in range(len(entries))})
+    # The manifest comes last, so that an entry's trailer is not taken for the bundle's.
+    return wire.whole(12, {f"e{i}": b for i, (_, b) in enumerate(entries)} | {"manifest": manifest}, {f"e{i}": wire.STORED for i in range(len(entries))})
 
 
 def frames(parts: list[bytes], codec: int = 3) -> bytes:
