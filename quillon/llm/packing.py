@@ -39,10 +39,11 @@ class TokenIds(dict):
     """Word (bytes without ASCII white space) to its ids as little-endian uint16.
 
     The tokenizer splits at white space and treats every word for itself, so the ids of a text
-    are those of its words.  Emptied when it grows too large.
+    are those of its words.  It splits letters from other signs too, so a word of ASCII letters
+    and one closing stop or comma is looked up in two parts.  Emptied when it grows too large.
     """
 
-    LIMIT = 600_000
+    LIMIT = 800_000
 
     def __init__(self, name: str) -> None:
         import public_tokenizers
@@ -51,13 +52,20 @@ class TokenIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
 
+    def _encode(self, words: list[bytes]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in words], add_special_tokens=False), strict=True):
+            self[w] = np.array(e.ids, "<u2").tobytes()
+
     def learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.LIMIT:
+        if len(self) + 2 * len(new) > self.LIMIT:
             self.clear()
             new = list(words)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in new], add_special_tokens=False), strict=True):
-            self[w] = np.array(e.ids, "<u2").tobytes()
+        closed = [w for w in new if w[-1:] in b".," and w[:-1].isalpha()]
+        parts = {w[:-1] for w in closed} | {b".", b","}
+        self._encode([w for w in {*new, *parts} - set(closed) if w not in self])
+        for w in closed:
+            self[w] = self[w[:-1]] + self[w[-1:]]
 
 
 _known: dict[str, TokenIds] = {}
@@ -75,7 +83,8 @@ def tokenizer(name: str = TOKENIZER) -> TokenIds:
 def ids_of(texts: list[bytes | None], name: str = TOKENIZER) -> list[bytes]:
     """Token ids (little-endian uint16) of each text, end token included."""
     known, end = tokenizer(name), np.array([END], "<u2").tobytes()
-    split = [(t or b"").split() for t in texts]
+    # The tokenizer lower-cases as well; its special tokens alone are matched before that.
+    split = [(t if b"<|" in t else t.lower()).split() for t in (t or b"" for t in texts)]
     known.learn(set().union(*split))
     return [b"".join(map(known.__getitem__, words)) + end for words in split]
 
