@@ -17,7 +17,7 @@ change nothing.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,29 +88,42 @@ def train(texts: list[bytes], labels: list[int], features: int = FEATURES, steps
     """Fit by gradient ascent (Adam) on the bags' log likelihood; deterministic."""
     if not any(labels):
         return Model({}, -40.0)
-    bags = [[[n for w in s.lower().split() for n in _names(w)] for s in sentences(t)] for t in texts]
-    pos, neg = Counter(), Counter()
-    for bag, y in zip(bags, labels, strict=True):
-        (pos if y else neg).update({n for s in bag for n in s})
-    n_pos, n_neg = max(1, sum(labels)), max(1, len(labels) - sum(labels))
-
-    def weight(n: str) -> float:
-        a, b = pos[n] / n_pos, neg[n] / n_neg
-        return abs(a - b) / np.sqrt((a + b) / 2 * max(1e-9, 1 - (a + b) / 2) * (1 / n_pos + 1 / n_neg) + 1e-12)
-
-    both = [n for n in set(pos) | set(neg) if pos[n] + neg[n] >= 3]
-    strength = {n: w for n in both if (w := weight(n)) >= ASSOCIATION}
-    chosen = sorted(strength, key=lambda n: (-strength[n], n))[:features]
-    index = {n: i for i, n in enumerate(chosen)}
-    col, row, owner = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            mine = [index[n] for n in s if n in index]
-            col += mine
-            row += [len(owner)] * len(mine)
+    # One number for each word; features are expanded from the distinct words, in text order.
+    number: dict[bytes, int] = {}
+    words, ends, owner = array("i"), array("q"), array("i")
+    for d, text in enumerate(texts):
+        for s in sentences(text):
+            words.extend(number.setdefault(w, len(number)) for w in s.lower().split())
+            ends.append(len(words))
             owner.append(d)
-    col, row, owner, y = np.array(col, np.int64), np.array(row, np.int64), np.array(owner, np.int64), np.array(labels, float)
-    m, d = len(owner), len(bags)
+    words, ends, owner = np.array(words, np.int32), np.array(ends, np.int64), np.array(owner, np.int64)
+    feature: dict[str, int] = {}
+    made = [[feature.setdefault(n, len(feature)) for n in _names(w)] for w in number]
+    lengths = np.diff(ends, prepend=0)
+    bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+    count = np.zeros((2, len(feature)), np.int64)
+    starts = np.concatenate([[0], ends])
+    for d, label in enumerate(labels):
+        own = {i for w in np.unique(words[starts[bounds[d]] : starts[bounds[d + 1]]]).tolist() for i in made[w]}
+        count[1 if label else 0, list(own)] += 1
+    n_pos, n_neg = max(1, sum(labels)), max(1, len(labels) - sum(labels))
+    a, b = count[1] / n_pos, count[0] / n_neg
+    strength = np.abs(a - b) / np.sqrt((a + b) / 2 * np.maximum(1e-9, 1 - (a + b) / 2) * (1 / n_pos + 1 / n_neg) + 1e-12)
+    used = [(-strength[i], n, i) for n, i in feature.items() if count[:, i].sum() >= 3 and strength[i] >= ASSOCIATION]
+    used = sorted(used)[:features]
+    chosen = [n for _, n, _ in used]
+    index = {i: at for at, (_, _, i) in enumerate(used)}
+    mine = [[index[i] for i in ids if i in index] for ids in made]
+    size = np.array([len(x) for x in mine], np.int64)
+    flat, at = np.array([i for x in mine for i in x], np.int32), np.concatenate([[0], np.cumsum(size)])[:-1]
+    del made, mine, feature
+    sentence = np.repeat(np.arange(len(owner), dtype=np.int32), lengths)
+    sentence, words = sentence[size[words] > 0], words[size[words] > 0]
+    times = size[words]
+    row = np.repeat(sentence, times)
+    col = flat[np.repeat(at[words] - np.concatenate([[0], np.cumsum(times)[:-1]]) if len(words) else at[words], times) + np.arange(len(row))]
+    y = np.array(labels, float)
+    m, d = len(owner), len(texts)
     w = np.zeros(len(chosen) + 1)
     w[-1] = -6.0
     first, second = np.zeros_like(w), np.zeros_like(w)
