@@ -3,12 +3,17 @@
 The global order of n-grams is the order of their 64-bit hashes.  That order is cut into
 fragments.  Two sets of sizes a and b that reach the threshold t differ in at most
 (a + b)(1 - t)/(1 + t) n-grams, so with one fragment more than that they agree in a whole
-fragment: equal (fragment, digest) keys find every pair.  Candidates are then verified:
-partial overlaps are counted fragment by fragment and summed per pair.
+fragment: equal (fragment, digest) keys find every pair.  A few fragments more are cut, so that
+nearly every set has as many non-empty ones as that argument needs; such a set sends no keys
+of empty fragments, which agree among unrelated sets.  (If either set of a pair has enough, one
+of its non-empty fragments agrees; if neither has, both send all.)  Candidates are then verified:
+the lesser counts of n-grams in fragments bound the overlap from above and drop most; for the
+others partial overlaps are counted fragment by fragment and summed per pair.
 
 Only links that can change the result are verified.  Documents with equal sets form one
-node.  Within a key the first node is compared with all others; after the components of
-these links are known, only keys that still join different components give more pairs.
+node.  Within a key the first node is compared with all others, for each node one pair before the
+rest; after the components of these links are known, only keys that still join different
+components give more pairs.
 So a group of copies costs a number of pairs in proportion to its size, and no link
 between nodes of different components is lost.
 
@@ -20,6 +25,7 @@ empty result.  Sets are compared by 64-bit hashes of n-grams and of sets.
 from __future__ import annotations
 
 import bisect
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +39,8 @@ from .components import components
 
 #: Fragments for counting partial overlaps.
 OVERLAP_FRAGMENTS = 8
+#: Fragments whose counts of n-grams (a byte each, up to 255) bound an overlap.
+COUNTS = 128
 
 _DOC, _BLOCK, _PAIR = 0, 1, 2
 _WIRE = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("body", pa.binary())])
@@ -61,6 +69,12 @@ class SizeClasses:
             self._extend()
         return 2 * self.last[tag] * (100 - self.percent) // (100 + self.percent) + 1
 
+    def cut(self, tag: int) -> int:
+        """Fragments that are cut: more than needed by about those that are expected to be empty."""
+        need = self.fragments(tag)
+        fill = self.percent * (100 + self.percent) / (200 * max(1, 100 - self.percent))
+        return need + int(3 * need * math.exp(-fill)) + 1 if need > 1 else 1
+
 
 def fragment_keys(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
     """64-bit keys of a set: one for each fragment, for its own size class and the next."""
@@ -69,15 +83,23 @@ def fragment_keys(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(grams ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
         out = []
         for tag in (own, own + 1):
-            k = classes.fragments(tag)
+            k = classes.cut(tag)
             cuts = (np.arange(k + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(k)
             at = np.searchsorted(grams >> np.uint64(32), cuts, side="left")
             at[-1] = len(grams)
             digest = sums[at[1:]] - sums[at[:-1]]
-            out.append(mix(digest + mix(np.arange(k, dtype=np.uint64) + np.uint64(tag << 32))))
+            own_keys = mix(digest + mix(np.arange(k, dtype=np.uint64) + np.uint64(tag << 32)))
+            filled = at[1:] > at[:-1]
+            out.append(own_keys[filled] if filled.sum() >= classes.fragments(tag) else own_keys)
     return np.concatenate(out)
 
 
+def counts(grams: np.ndarray) -> bytes:
+    """Numbers of n-grams in fixed fragments of the global order; 255 stands for more, too."""
+    found = np.bincount((grams >> np.uint64(57)).astype(np.int64), minlength=COUNTS)
+    return np.minimum(found, 255).astype(np.uint8).tobytes()
+
+
 def set_id(grams: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes()))))
 
@@ -130,18 +152,19 @@ def _emit(k: int, percent: int, parts: int):
             yield _rows(at, [_BLOCK] * m, [None] * m, [None] * m, [None] * m, [None] * m, body)
 
         for batch in slices(batches):
-            ids, node, size, texts = batch.column(0).to_pylist(), [], [], batch.column(2).to_pylist()
+            ids, node, size, texts, count = batch.column(0).to_pylist(), [], [], batch.column(2).to_pylist(), []
             for text in as_bytes(batch.column(1)):
                 grams = shingles(text, k)
                 size.append(len(grams))
                 node.append(set_id(grams) if len(grams) else None)
+                count.append(counts(grams) if len(grams) else None)
                 if len(grams):
                     own = fragment_keys(grams, classes)
                     keys.append(own)
                     nodes.append(np.full(len(own), node[-1], np.int64))
                     held += len(own)
             m = len(ids)
-            yield _rows([x % parts for x in texts], [_DOC] * m, ids, node, texts, size, [None] * m)
+            yield _rows([x % parts for x in texts], [_DOC] * m, ids, node, texts, size, count)
             if held > 2_000_000 or len(nodes) > 60_000:
                 yield from block()
                 keys, nodes, held = [], [], 0
@@ -151,8 +174,8 @@ def _emit(k: int, percent: int, parts: int):
     return run
 
 
-_OUT_SQL = "kind int, id long, a long, b long, n long"
-_OUT = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+_OUT_SQL = "kind int, id long, a long, b long, n long, body binary"
+_OUT = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("body", pa.binary())])
 
 
 def _gather(group: pa.Table) -> pa.Table:
@@ -173,7 +196,7 @@ def _gather(group: pa.Table) -> pa.Table:
         return plain
     _, _, pairs = _stars(np.concatenate(keys), np.concatenate(nodes))
     m = len(pairs)
-    found = pa.table([pa.array(x, t) for x, t in zip((np.full(m, _PAIR, np.int32), pa.nulls(m, pa.int64()), pairs[:, 0], pairs[:, 1], pa.nulls(m, pa.int64())), _OUT.types)], schema=_OUT)
+    found = pa.table([pa.array(x, t) for x, t in zip((np.full(m, _PAIR, np.int32), pa.nulls(m, pa.int64()), pairs[:, 0], pairs[:, 1], pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())), _OUT.types)], schema=_OUT)
     return pa.concat_tables([plain, found])
 
 
@@ -211,12 +234,24 @@ def _key_rows(k: int, percent: int):
     return run
 
 
+def _bounded(percent: int):
+    """Of rows (a, b, n_a, n_b, counts_a, counts_b) those whose sets differ little enough by their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 8192):
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COUNTS).astype(np.int64) for i in (4, 5))
+            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            keep = np.abs(left - right).sum(axis=1) * (100 + percent) <= both * (100 - percent)
+            yield pa.RecordBatch.from_arrays(batch.columns[:4], names=batch.schema.names[:4]).filter(pa.array(keep))
+
+    return run
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b, n_a, n_b) those with 100 * intersection >= percent * union."""
-    sized = pairs.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     left = sets.select(F.col("node").alias("a"), "frag", F.col("grams").alias("grams_a"))
     right = sets.select(F.col("node").alias("b"), "frag", F.col("grams").alias("grams_b"))
-    partial = sized.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("part"))
+    partial = pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("part"))
     summed = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("shared"))
     return summed.where(f"100 * shared >= {percent} * (n_a + n_b - shared)").select("a", "b")
 
@@ -233,25 +268,51 @@ def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_i
     keyed = texts.withColumn("th", F.xxhash64("text"))
     wire = keyed.mapInArrow(_emit(k, percent, parts), _WIRE_SQL)
     found = written(wire.groupBy("part").applyInArrow(_gather, _OUT_SQL), "fragments")
-    rows = found.where(f"kind = {_DOC}").select("id", F.col("a").alias("node"), F.col("b").alias("th"), "n")
-    nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least_id"), F.min("n").alias("n"), F.min("th").alias("th"))
-
-    first = found.where(f"kind = {_PAIR}").select("a", "b").distinct()
-    size = nodes.select("node", "n")
-    suspects = first.select(F.col("a").alias("node")).union(first.select(F.col("b").alias("node"))).distinct()
-    suspects = written(suspects.join(nodes, "node"), "suspects")
-    chosen = keyed.join(small_or_plain(suspects.select("th"), 16), "th", "left_semi").dropDuplicates(["th"]).select("text")
-    sets = written(chosen.mapInArrow(_set_rows(k), "node long, frag int, grams array<long>").dropDuplicates(["node", "frag"]), "sets")
-
-    def with_sizes(pairs: DataFrame) -> DataFrame:
-        known = suspects.select("node", "n")
-        return pairs.join(known.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(known.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
-
-    links = written(verified(with_sizes(first), sets, percent), "links")
+    rows = found.where(f"kind = {_DOC}").select("id", F.col("a").alias("node"), F.col("b").alias("th"), "n", F.col("body").alias("counts"))
+    nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least_id"), F.min("n").alias("n"), F.min("th").alias("th"), F.min("counts").alias("counts"))
+    nodes = written(nodes, "nodes")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        known = nodes.select("node", "n", "counts")
+        sized = pairs.join(known.toDF("a", "n_a", "counts_a"), "a").join(known.toDF("b", "n_b", "counts_b"), "b")
+        sized = sized.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+        return written(sized.select("a", "b", "n_a", "n_b", "counts_a", "counts_b").mapInArrow(_bounded(percent), "a long, b long, n_a long, n_b long"), "possible")
+
+    def texts_of(names: DataFrame) -> DataFrame:
+        wanted = written(names.distinct().join(nodes.select("node", "th"), "node").select("th"), "wanted")
+        return keyed.join(small_or_plain(wanted, 16), "th", "left_semi").dropDuplicates(["th"]).select("text")
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        return written(texts_of(ends(pairs)).mapInArrow(_set_rows(k), "node long, frag int, grams array<long>"), "sets")
+
+    def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+        """Pairs with the components of both ends, where these differ."""
+        named = pairs.join(label.toDF("a", "component_a"), "a", "left").join(label.toDF("b", "component_b"), "b", "left")
+        named = named.withColumn("component_a", F.coalesce("component_a", "a")).withColumn("component_b", F.coalesce("component_b", "b"))
+        return named.where("component_a <> component_b")
+
+    first = written(found.where(f"kind = {_PAIR}").select("a", "b").distinct(), "first")
+    pairs = possible(first)
+    sets = sets_of(pairs)
+    one = pairs.groupBy("b").agg(F.min(F.struct("a", "n_a", "n_b")).alias("p")).select("p.a", "b", "p.n_a", "p.n_b")
+    links = written(verified(one, sets, percent), "links")
     label = components(links)
-
-    # Second round: keys whose nodes are still in different components.
-    keys = chosen.mapInArrow(_key_rows(k, percent), "key long, node long, n long")
+    rest = written(apart(pairs, label).select("a", "b", "n_a", "n_b").join(one.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    more = written(verified(rest, sets, percent), "links")
+    if more.limit(1).count():
+        links = links.union(more)
+        label = components(links)
+    drop_written(sets)
+
+    # Second round: keys whose nodes are still in different components.  Such a key has a pair of
+    # the first round that lies apart, and its nodes are in the components of such pairs.
+    parted = written(apart(first, label).select("component_a", "component_b"), "parted")
+    open_ = parted.select(F.col("component_a").alias("component")).union(parted.select(F.col("component_b").alias("component"))).distinct()
+    grouped = nodes.select("node").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    keys = texts_of(grouped.join(open_, "component").select("node")).mapInArrow(_key_rows(k, percent), "key long, node long, n long")
     known = keys.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     known = written(known, "keys")
     count = known.groupBy("key", "component").agg(F.count("*").alias("m"))
@@ -261,13 +322,14 @@ def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_i
     every = mixed.select("key", F.col("node").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b"), "main")
     more = few.join(every, "key").where("component_a <> component_b and (component_b = main or a < b)")
     more = more.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.expr("if(a < b, n_a, n_b)").alias("n_a"), F.expr("if(a < b, n_b, n_a)").alias("n_b")).distinct()
-    more = more.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    late = written(verified(more, sets, percent), "links")
+    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    late = possible(more.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
     drop_written(mixed)
     drop_written(known)
-    links = links.union(late)
-    label = components(links) if late.limit(1).count() else label
+    if late.limit(1).count():
+        late = written(verified(late, sets_of(late), percent), "links")
+        links = links.union(late)
+        label = components(links)
 
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("verified_links"))
     named = nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
