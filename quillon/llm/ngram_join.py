@@ -10,12 +10,14 @@ of its non-empty fragments agrees; if neither has, both send all.)  Candidates a
 the lesser counts of n-grams in fragments bound the overlap from above and drop most; for the
 others partial overlaps are counted fragment by fragment and summed per pair.
 
-Only links that can change the result are verified.  Documents with equal sets form one
-node.  Within a key the first node is compared with all others, for each node one pair before the
+Documents with equal sets form one node.  Components come first, from links that can change them:
+within a key the first node is compared with all others, for each node one pair before the
 rest; after the components of these links are known, only keys that still join different
-components give more pairs.
-So a group of copies costs a number of pairs in proportion to its size, and no link
-between nodes of different components is lost.
+components give more pairs, so no link between nodes of different components is lost.
+Every link lies inside a component, so then the links of each node are counted there, over all pairs
+of the component's nodes.  Components are cut into blocks of nodes by hash; a pair of blocks holds its
+sets as incidence matrices, whose product is the overlaps, and gives one row for each node.
+The comparisons grow with the square of a component, the rows with that divided by a block's size.
 
 Nulls: a null or empty text has no n-gram and links with nothing.  Rows with the same
 doc_id are separate rows of the result.  Extra columns are ignored.  An empty table gives an
@@ -41,6 +43,9 @@ from .components import components
 OVERLAP_FRAGMENTS = 8
 #: Fragments whose counts of n-grams (a byte each, up to 255) bound an overlap.
 COUNTS = 128
+#: Nodes and n-grams that a block of a component holds, about.
+BLOCK_NODES = 1024
+BLOCK_GRAMS = 2_000_000
 
 _DOC, _BLOCK, _PAIR = 0, 1, 2
 _WIRE = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("body", pa.binary())])
@@ -256,11 +261,76 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return summed.where(f"100 * shared >= {percent} * (n_a + n_b - shared)").select("a", "b")
 
 
-def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set."""
+    sets = left + right
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, gram, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # An n-gram of one set alone is in no overlap.
+    several = times[gram] > 1
+    owner, gram = owner[several], (np.cumsum(times > 1) - 1)[gram[several]]
+    order = np.argsort(gram, kind="stable")
+    owner, gram = owner[order], gram[order]
+    shared = np.zeros((len(left), len(right)), np.int64)
+    for low in range(0, int(gram[-1]) + 1 if len(gram) else 0, columns):
+        at = slice(*np.searchsorted(gram, [low, low + columns]))
+        held = np.zeros((len(sets), min(columns, int(gram[-1]) + 1 - low)), np.float32)
+        held[owner[at], gram[at] - low] = 1
+        shared += (held[: len(left)] @ held[len(left) :].T).astype(np.int64)
+    return shared
+
+
+def _count_links(percent: int):
+    """Rows (component, i, j, own, node, copies, grams), sorted by the first three, to (node, links)."""
+
+    def count(rows: list[tuple]) -> pa.RecordBatch:
+        i, j = rows[0][1], rows[0][2]
+        left = [r for r in rows if r[3] == i]
+        right = left if i == j else [r for r in rows if r[3] == j]
+        if not left or not right:
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64())], names=["node", "links"])
+        a, b = ([np.frombuffer(r[6], "<u8") for r in side] for side in (left, right))
+        shared = overlaps(a, b)
+        both = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :] - shared
+        linked = 100 * shared >= percent * both
+        if i == j:
+            np.fill_diagonal(linked, False)
+        nodes, links = [r[4] for r in left], linked @ np.array([r[5] for r in right], np.int64)
+        if i != j:
+            nodes += [r[4] for r in right]
+            links = np.concatenate([links, linked.T @ np.array([r[5] for r in left], np.int64)])
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(links, pa.int64())], names=["node", "links"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in slices(batches):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][:3] != row[:3]:
+                    yield count(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield count(held)
+
+    return run
+
+
+def _whole_sets(k: int):
+    """(node, grams) of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [s for s in (shingles(t, k) for t in as_bytes(batch.column(0))) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in found], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())], names=["node", "grams"])
+
+    return run
+
+
+def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, count_links: bool = True) -> DataFrame:
     """``(doc_id, n_shingles, component_id, verified_links)``; one row per row of ``docs``.
 
-    ``verified_links`` counts the links of the row's set that were verified, a lower bound of all where
-    links inside a component could not change it.
+    ``verified_links`` is the exact number of other rows that the row links with, rows of an equal set
+    among them.  Without ``count_links`` that column is left out.
     """
     spark = docs.sparkSession
     parts = parts or max(16, min(1 << 16, estimated_bytes(docs) // (4 << 20)))
@@ -269,7 +339,7 @@ def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_i
     wire = keyed.mapInArrow(_emit(k, percent, parts), _WIRE_SQL)
     found = written(wire.groupBy("part").applyInArrow(_gather, _OUT_SQL), "fragments")
     rows = found.where(f"kind = {_DOC}").select("id", F.col("a").alias("node"), F.col("b").alias("th"), "n", F.col("body").alias("counts"))
-    nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least_id"), F.min("n").alias("n"), F.min("th").alias("th"), F.min("counts").alias("counts"))
+    nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least_id"), F.min("n").alias("n"), F.min("th").alias("th"), F.min("counts").alias("counts"), F.count("*").alias("copies"))
     nodes = written(nodes, "nodes")
 
     def possible(pairs: DataFrame) -> DataFrame:
@@ -331,12 +401,29 @@ def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_i
         links = links.union(late)
         label = components(links)
 
-    degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("verified_links"))
     named = nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = named.join(least, "component").join(degree, "node", "left").select("node", "component_id", F.coalesce("verified_links", F.lit(0)).cast("long").alias("verified_links"))
-    out = rows.join(named, "node", "left")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("verified_links", F.lit(0)).cast("long").alias("verified_links"))
+    whole = named.groupBy("component").agg(F.min("least_id").alias("component_id"), F.count("*").alias("m"), F.sum("n").alias("grams"), F.sum("copies").alias("all_copies"))
+    named = written(named.select("node", "th", "copies", "component").join(whole, "component"), "named")
+    out = rows.join(named.select("node", "component_id"), "node", "left")
+    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
+    plain = [F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component]
+    if not count_links:
+        return out.select(*plain)
+
+    # Up to two nodes are linked with one another; the nodes of larger components are compared.
+    large = named.where("m > 2")
+    blocks = F.ceil(F.greatest(F.col("m") / BLOCK_NODES, F.col("grams") / BLOCK_GRAMS)).cast("int")
+    member = large.select("component", "node", "copies", blocks.alias("blocks")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    member = member.join(texts_of(large.select("node")).mapInArrow(_whole_sets(k), "node long, grams binary"), "node")
+    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    member = member.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "copies", "grams")
+    member = member.repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j")
+    counted = member.mapInArrow(_count_links(percent), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    few = named.where("m <= 2").select("node", (F.col("all_copies") - F.col("copies")).alias("links"))
+    # Rows of the node itself are links, too, but for the row in question.
+    degree = named.select("node", "component_id", "copies").join(counted.union(few), "node").select("node", "component_id", (F.col("links") + F.col("copies") - 1).alias("verified_links"))
+    out = rows.join(degree, "node", "left")
+    return out.select(*plain, F.coalesce("verified_links", F.lit(0)).cast("long").alias("verified_links"))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,7 +437,7 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Rows without an n-gram stay.  Of repeated rows with the least doc_id of a group one stays;
     rows with a null doc_id stay, since nothing names them.
     """
-    group = ngram_components(docs, k, percent)
+    group = ngram_components(docs, k, percent, count_links=False)
     lost = group.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(lost, "doc_id", "left_anti")
     named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])

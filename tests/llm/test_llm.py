@@ -249,6 +249,31 @@ def test_op8_table_and_odd_rows(spark, small, documents):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 5, 6, 7, 8] and kept.columns == frame(spark, []).columns
 
 
+@pytest.mark.parametrize(("nodes", "percent"), [(1024, 90), (7, 90), (5, 50)])
+def test_op8_counts_every_link(spark, monkeypatch, nodes, percent):
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", nodes)
+    rng = random.Random(nodes)
+    texts = ["", "one", "one", "only pair here", *["exact copy of a text"] * 4]
+    for size, group in [(120, 40), (200, 25), (60, 3), (60, 2), (5, 1)]:
+        words = [f"g{group}w{i}" for i in range(size)]
+        for _ in range(group):
+            near = list(words)
+            for _ in range(rng.randrange(3)):
+                near[rng.randrange(size)] = f"x{rng.randrange(9999)}"
+            texts += [" ".join(near)] * rng.choice([1, 1, 2])
+    sets = [{tuple(w[j : j + 3]) for j in range(max(1, len(w) - 2))} if (w := t.split()) else set() for t in texts]
+    want = {i: sum(j != i and bool(x) and 100 * len(x & y) >= percent * len(x | y) for j, y in enumerate(sets)) for i, x in enumerate(sets)}
+    got = {r.doc_id: r.verified_links for r in ngram_join.ngram_components(frame(spark, [(i, t, "a") for i, t in enumerate(texts)]), 3, percent, parts=3).collect()}
+    assert got == want and max(want.values()) > 20
+
+
+def test_op8_overlaps_in_column_blocks():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype("u8") for _ in range(30)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]]
+    assert ngram_join.overlaps(sets[:12], sets[12:], 7).tolist() == want
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in C.components(edges).collect()}
