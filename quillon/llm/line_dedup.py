@@ -8,7 +8,10 @@ exact distinct count, the others are decided by their estimate.  Then boilerplat
 Rules: lines are the parts between newlines, compared without leading and trailing spaces; blank
 lines are never boilerplate.  A document of which the boilerplate would take more than
 ``max_removed`` of its non-blank characters is left whole: it is a copy of other documents, which
-near-duplicate removal treats, and not a text with boilerplate around it.  A null source is a
+near-duplicate removal treats, and not a text with boilerplate around it.  That share also lets off
+short texts with a long shared line; ``max_removed=None``, as in the pipeline, cuts every
+boilerplate line at any share, and there only lines that no other text holds than the exact copies
+(by hash) of one text are no boilerplate.  A null source is a
 site of its own.  A null text stays null and has no lines.  Repeated rows are treated alike,
 extra columns are carried along, an empty table stays empty.
 """
@@ -34,14 +37,20 @@ def _bare(line: Column) -> Column:
     return F.btrim(line, F.lit(_TRIM))
 
 
-def boilerplate_lines(docs: DataFrame, site_col: str = "source", text_col: str = "text", min_sites: int = MIN_SITES, near: float = NEAR) -> DataFrame:
-    """``(line)``: the hashes of lines found on at least ``min_sites`` distinct sites."""
+def boilerplate_lines(docs: DataFrame, site_col: str = "source", text_col: str = "text", min_sites: int = MIN_SITES, near: float = NEAR, spare_copies: bool = False) -> DataFrame:
+    """``(line)``: the hashes of lines found on at least ``min_sites`` distinct sites.
+
+    With ``spare_copies`` lines of one distinct text alone are left out.
+    """
     sites = F.xxhash64(F.col(site_col).isNull(), F.col(site_col))
-    lines = docs.where(F.col(text_col).isNotNull()).select(sites.alias("site"), F.explode(F.split(F.col(text_col), "\n")).alias("raw"))
-    lines = lines.select("site", _bare(F.col("raw")).alias("raw")).where("raw <> ''").select("site", F.xxhash64("raw").alias("line"))
+    lines = docs.where(F.col(text_col).isNotNull()).select(sites.alias("site"), F.xxhash64(text_col).alias("text"), F.explode(F.split(F.col(text_col), "\n")).alias("raw"))
+    lines = lines.select("site", "text", _bare(F.col("raw")).alias("raw")).where("raw <> ''").select("site", "text", F.xxhash64("raw").alias("line"))
+    several = lines.groupBy("line").agg(F.min("site").alias("low"), F.max("site").alias("high"), F.min("text").alias("low_text"), F.max("text").alias("high_text"))
+    if spare_copies:
+        several = several.where("low_text <> high_text")
     if min_sites <= 1:
-        return lines.select("line").distinct()
-    several = lines.groupBy("line").agg(F.min("site").alias("low"), F.max("site").alias("high")).where("low <> high").select("line")
+        return several.select("line")
+    several, lines = several.where("low <> high").select("line"), lines.select("site", "line")
     # One row per line and site: written once, read by the sketches and by the exact counts.
     spread = written(lines.join(several, "line").distinct(), "spread")
     sketched = spread.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_REGISTERS))).alias("estimate"))
@@ -52,9 +61,9 @@ def boilerplate_lines(docs: DataFrame, site_col: str = "source", text_col: str =
     return sure.union(exact)
 
 
-def remove_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text", min_sites: int = MIN_SITES, max_removed: float = MAX_REMOVED) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text", min_sites: int = MIN_SITES, max_removed: float | None = MAX_REMOVED) -> DataFrame:
     """``docs`` with boilerplate lines cut from the text, and ``n_lines`` and ``n_removed``."""
-    bad = boilerplate_lines(docs, site_col, text_col, min_sites)
+    bad = boilerplate_lines(docs, site_col, text_col, min_sites, spare_copies=max_removed is None)
     keyed = docs.withColumn("_text", F.xxhash64(text_col))
     # Equal texts lose equal lines, so positions are found once per distinct text.
     lines = docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("_text"), F.posexplode(F.split(F.col(text_col), "\n")).alias("at", "raw"))
@@ -64,7 +73,9 @@ def remove_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str
     joined = keyed.join(hit, "_text", "left")
     parts = F.split(F.col(text_col), "\n")
     total = F.length(F.regexp_replace(F.col(text_col), r"(?m)^[ \t\r\x0B\x0C]+|[ \t\r\x0B\x0C]+$|\n", ""))
-    cut = F.col("_at").isNotNull() & (F.col("_lost") <= F.lit(max_removed) * total)
+    cut = F.col("_at").isNotNull()
+    if max_removed is not None:
+        cut = cut & (F.col("_lost") <= F.lit(max_removed) * total)
     out = joined.withColumn("_cut", F.coalesce(cut, F.lit(False)))
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_at"), i)), "\n")
     out = out.withColumn("n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("long"))

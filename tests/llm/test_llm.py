@@ -167,6 +167,19 @@ def test_op5_matches_sql_and_odd_rows(spark, small):
     assert line_dedup.remove_boilerplate(frame(spark, [])).count() == 0
 
 
+def test_pipeline_cuts_boilerplate_at_any_share(spark, small):
+    import corpus_pipeline as P
+
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = [(i, f"{passage}\nown {i} " + "word " * 38, f"s{i}") for i in range(20)]
+    # Exact copies keep their own line, not the passage; what is only copied stays whole.
+    rows += [(100 + i, f"a copied line\n{passage}", f"c{i}") for i in range(8)]
+    rows += [(200 + i, "the whole text\nis a copy", f"c{i}") for i in range(8)]
+    got = {r.doc_id: r.text for r in P.cut_boilerplate(spark, frame(spark, rows), small).collect()}
+    assert got == {i: t.replace(passage + "\n", "").replace("\n" + passage, "") for i, t, _ in rows}
+    assert got[207] == "the whole text\nis a copy" and got[105] == "a copied line"
+
+
 def check_packed(rows, texts):
     """Pieces cover each text once, ids and places are right; returns the share of padding."""
     from tokenizers import Tokenizer
