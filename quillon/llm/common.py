@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -22,9 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of our own only where none is configured."""
+    """The cluster's shared folder; a folder of our own only in local mode, where none is configured."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="quillon-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -67,6 +70,46 @@ def small_or_plain(df: DataFrame, row_bytes: int, limit_bytes: int = 16 << 20) -
     return F.broadcast(df) if df.count() * row_bytes <= limit_bytes else df
 
 
+def salted_left_join(big: DataFrame, small: DataFrame, on: list[str], row_bytes: int, salts: int = 32, limit_bytes: int = 16 << 20) -> DataFrame:
+    """``big`` left-joined with a *written* table of unique keys.
+
+    Below the limit the table is broadcast.  Beyond it, its rows are sent ``salts`` times, so that the
+    rows of a hot key of ``big`` spread over that many tasks.
+    """
+    if small.count() * row_bytes <= limit_bytes:
+        return big.join(F.broadcast(small), on, "left")
+    salt = free_name([*big.columns, *small.columns], "salt")
+    copies = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big.withColumn(salt, (F.monotonically_increasing_id() % salts).cast("int")).join(copies, [*on, salt], "left").drop(salt)
+
+
+def free_name(taken: Iterable[str], wish: str) -> str:
+    """``wish``, with underscores behind it until no taken name equals it (case set aside)."""
+    low = {t.lower() for t in taken}
+    while wish.lower() in low:
+        wish += "_"
+    return wish
+
+
+def tidy(batches: Iterator, *caches: dict) -> Iterator:
+    """Pass on what a task gives; at its end empty the caches and return memory to the system.
+
+    Python workers outlive a task, so what stays allocated would be missing in the stages behind it.
+    """
+    import ctypes
+
+    import pyarrow as pa
+
+    try:
+        yield from batches
+    finally:
+        for c in caches:
+            c.clear()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser on an array of uint64."""
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -75,9 +118,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """Word (bytes) to 64-bit hash; filled on first use and emptied when it grows too large."""
+    """Word (bytes) to 64-bit hash; filled on first use and emptied when it grows too large.
+
+    The limit keeps it at some 30 MB.
+    """
 
-    LIMIT = 1_000_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -86,6 +132,7 @@ class WordHashes(dict):
         return value
 
 
+#: Emptied at the end of each task, see :func:`tidy`.
 _words = WordHashes()
 
 

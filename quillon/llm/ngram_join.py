@@ -13,7 +13,8 @@ others partial overlaps are counted fragment by fragment and summed per pair.
 Documents with equal sets form one node.  Components come first, from links that can change them:
 within a key the first node is compared with all others, for each node one pair before the
 rest; after the components of these links are known, only keys that still join different
-components give more pairs, so no link between nodes of different components is lost.
+components give more pairs, so no link between nodes of different components is lost.  The nodes of
+such a key are compared by size and counts in blocks, and only pairs that may be links become rows.
 Every link lies inside a component, so then the links of each node are counted there, over all pairs
 of the component's nodes.  Components are cut into blocks of nodes by hash; a pair of blocks holds its
 sets as incidence matrices, whose product is the overlaps, and gives one row for each node.
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, drop_written, estimated_bytes, mix, shingles, slices, small_or_plain, table, written
+from .common import _words, as_bytes, drop_written, estimated_bytes, free_name, mix, shingles, slices, small_or_plain, table, tidy, written
 from .components import components
 
 #: Fragments for counting partial overlaps.
@@ -156,6 +157,7 @@ def _emit(k: int, percent: int, parts: int):
             m = len(at)
             yield _rows(at, [_BLOCK] * m, [None] * m, [None] * m, [None] * m, [None] * m, body)
 
+        dealt = 0
         for batch in slices(batches):
             ids, node, size, texts, count = batch.column(0).to_pylist(), [], [], batch.column(2).to_pylist(), []
             for text in as_bytes(batch.column(1)):
@@ -169,8 +171,10 @@ def _emit(k: int, percent: int, parts: int):
                     nodes.append(np.full(len(own), node[-1], np.int64))
                     held += len(own)
             m = len(ids)
-            yield _rows([x % parts for x in texts], [_DOC] * m, ids, node, texts, size, count)
-            if held > 2_000_000 or len(nodes) > 60_000:
+            # In turn, whatever their texts and ids: copies and empty texts do not meet in one place.
+            yield _rows((np.arange(dealt, dealt + m) % parts).astype(np.int32), [_DOC] * m, ids, node, texts, size, count)
+            dealt += m
+            if held > 1_000_000 or len(nodes) > 60_000:
                 yield from block()
                 keys, nodes, held = [], [], 0
         if keys:
@@ -239,19 +243,76 @@ def _key_rows(k: int, percent: int):
     return run
 
 
+def differ_little(left: np.ndarray, right: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the counts of pairs of sets let them reach the threshold; ``both`` are the sums of their sizes."""
+    apart = np.abs(left.astype(np.int16) - right.astype(np.int16)).sum(axis=1, dtype=np.int64)
+    return apart * (100 + percent) <= both * (100 - percent)
+
+
 def _bounded(percent: int):
     """Of rows (a, b, n_a, n_b, counts_a, counts_b) those whose sets differ little enough by their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 8192):
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COUNTS).astype(np.int64) for i in (4, 5))
-            both = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            keep = np.abs(left - right).sum(axis=1) * (100 + percent) <= both * (100 - percent)
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COUNTS) for i in (4, 5))
+            keep = differ_little(left, right, batch.column(2).to_numpy() + batch.column(3).to_numpy(), percent)
             yield pa.RecordBatch.from_arrays(batch.columns[:4], names=batch.schema.names[:4]).filter(pa.array(keep))
 
     return run
 
 
+def late_pairs(percent: int, left: list[tuple], right: list[tuple]) -> np.ndarray:
+    """Pairs (a, b, n_a, n_b) of a key that may be links between different components.
+
+    Rows are (node, n, component, main component of the key, counts).  Of each pair one is outside the
+    main component; pairs are tested in steps of bounded size and only the possible ones are returned.
+    """
+    def columns(rows: list[tuple]) -> tuple:
+        node, n, component, main = (np.array([r[i] for r in rows], np.int64) for i in range(4))
+        return node, n, component, component != main, np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(-1, COUNTS)
+
+    node_b, n_b, component_b, out_b, counts_b = columns(right)
+    node_a, n_a, component_a, out_a, counts_a = columns(left)
+    found = [np.zeros((0, 4), np.int64)]
+    step = max(1, (1 << 20) // len(right))
+    for low in range(0, len(left), step):
+        x = slice(low, low + step)
+        sizes = 100 * np.minimum(n_a[x, None], n_b) >= percent * np.maximum(n_a[x, None], n_b)
+        i, j = np.nonzero(sizes & (component_a[x, None] != component_b) & (out_a[x, None] | out_b))
+        for at in range(0, len(i), 1 << 16):
+            p, q = i[at : at + (1 << 16)] + low, j[at : at + (1 << 16)]
+            keep = differ_little(counts_a[p], counts_b[q], n_a[p] + n_b[q], percent)
+            p, q = p[keep], q[keep]
+            turn = node_a[p] > node_b[q]
+            pairs = np.stack([node_a[p], node_b[q], n_a[p], n_b[q]], axis=1)
+            pairs[turn] = pairs[turn][:, [1, 0, 3, 2]]
+            found.append(pairs)
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _late(percent: int):
+    """Rows (key, i, j, own, node, n, component, main, counts), sorted by the first three, to possible pairs."""
+
+    def pairs(rows: list[tuple]) -> pa.RecordBatch:
+        i, j = rows[0][1], rows[0][2]
+        left, right = ([r[4:] for r in rows if r[3] == at] for at in (i, j))
+        got = late_pairs(percent, left, right) if left and right else np.zeros((0, 4), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(got[:, c]) for c in range(4)], names=["a", "b", "n_a", "n_b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in slices(batches, 4096):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][:3] != row[:3]:
+                    yield pairs(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield pairs(held)
+
+    return run
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b, n_a, n_b) those with 100 * intersection >= percent * union."""
     left = sets.select(F.col("node").alias("a"), "frag", F.col("grams").alias("grams_a"))
@@ -315,6 +376,11 @@ def _count_links(percent: int):
     return run
 
 
+def _tidied(run):
+    """``run`` of a task, behind which the word cache is emptied and memory is given back."""
+    return lambda batches: tidy(run(batches), _words)
+
+
 def _whole_sets(k: int):
     """(node, grams) of each text."""
 
@@ -326,17 +392,17 @@ def _whole_sets(k: int):
     return run
 
 
-def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, count_links: bool = True) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, verified_links)``; one row per row of ``docs``.
+def ngram_rows(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, count_links: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(id, node, th, n)`` of each row of ``docs`` and ``(node, component_id)`` of each node, with ``links`` if they are to be counted.
 
-    ``verified_links`` is the exact number of other rows that the row links with, rows of an equal set
-    among them.  Without ``count_links`` that column is left out.
+    ``node`` names the set and is null without n-grams, ``th`` is the text's hash; ``component_id`` is the
+    least id of the component and null if there is none.
     """
     spark = docs.sparkSession
     parts = parts or max(16, min(1 << 16, estimated_bytes(docs) // (4 << 20)))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     keyed = texts.withColumn("th", F.xxhash64("text"))
-    wire = keyed.mapInArrow(_emit(k, percent, parts), _WIRE_SQL)
+    wire = keyed.mapInArrow(_tidied(_emit(k, percent, parts)), _WIRE_SQL)
     found = written(wire.groupBy("part").applyInArrow(_gather, _OUT_SQL), "fragments")
     rows = found.where(f"kind = {_DOC}").select("id", F.col("a").alias("node"), F.col("b").alias("th"), "n", F.col("body").alias("counts"))
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least_id"), F.min("n").alias("n"), F.min("th").alias("th"), F.min("counts").alias("counts"), F.count("*").alias("copies"))
@@ -356,7 +422,7 @@ def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_i
         return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
 
     def sets_of(pairs: DataFrame) -> DataFrame:
-        return written(texts_of(ends(pairs)).mapInArrow(_set_rows(k), "node long, frag int, grams array<long>"), "sets")
+        return written(texts_of(ends(pairs)).mapInArrow(_tidied(_set_rows(k)), "node long, frag int, grams array<long>"), "sets")
 
     def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
         """Pairs with the components of both ends, where these differ."""
@@ -382,19 +448,20 @@ def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_i
     parted = written(apart(first, label).select("component_a", "component_b"), "parted")
     open_ = parted.select(F.col("component_a").alias("component")).union(parted.select(F.col("component_b").alias("component"))).distinct()
     grouped = nodes.select("node").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    keys = texts_of(grouped.join(open_, "component").select("node")).mapInArrow(_key_rows(k, percent), "key long, node long, n long")
+    keys = texts_of(grouped.join(open_, "component").select("node")).mapInArrow(_tidied(_key_rows(k, percent)), "key long, node long, n long")
     known = keys.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     known = written(known, "keys")
     count = known.groupBy("key", "component").agg(F.count("*").alias("m"))
-    mixed = count.groupBy("key").agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
-    mixed = written(known.join(mixed, "key"), "mixed")
-    few = mixed.where("component <> main").select("key", F.col("node").alias("a"), F.col("component").alias("component_a"), F.col("n").alias("n_a"))
-    every = mixed.select("key", F.col("node").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b"), "main")
-    more = few.join(every, "key").where("component_a <> component_b and (component_b = main or a < b)")
-    more = more.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    late = possible(more.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    drop_written(mixed)
+    mixed = count.groupBy("key").agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.sum("m").alias("m"), F.count("*").alias("kinds")).where("kinds > 1")
+    # Pairs of a key are tested in blocks of its nodes; only those that pass become rows.
+    blocks = F.ceil(F.col("m") / BLOCK_NODES).cast("int")
+    mixed = known.join(mixed.select("key", "main", blocks.alias("blocks")), "key").join(nodes.select("node", "counts"), "node")
+    mixed = mixed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    mixed = mixed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "component", "main", "counts")
+    mixed = mixed.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    more = written(mixed.mapInArrow(_tidied(_late(percent)), "a long, b long, n_a long, n_b long"), "late")
+    seen = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    late = written(more.distinct().join(seen, ["a", "b"], "left_anti"), "late")
     drop_written(known)
     if late.limit(1).count():
         late = written(verified(late, sets_of(late), percent), "links")
@@ -404,26 +471,34 @@ def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_i
     named = nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     whole = named.groupBy("component").agg(F.min("least_id").alias("component_id"), F.count("*").alias("m"), F.sum("n").alias("grams"), F.sum("copies").alias("all_copies"))
     named = written(named.select("node", "th", "copies", "component").join(whole, "component"), "named")
-    out = rows.join(named.select("node", "component_id"), "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
-    plain = [F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component]
     if not count_links:
-        return out.select(*plain)
+        return rows, named.select("node", "component_id")
 
     # Up to two nodes are linked with one another; the nodes of larger components are compared.
     large = named.where("m > 2")
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK_NODES, F.col("grams") / BLOCK_GRAMS)).cast("int")
     member = large.select("component", "node", "copies", blocks.alias("blocks")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    member = member.join(texts_of(large.select("node")).mapInArrow(_whole_sets(k), "node long, grams binary"), "node")
+    member = member.join(texts_of(large.select("node")).mapInArrow(_tidied(_whole_sets(k)), "node long, grams binary"), "node")
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     member = member.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "copies", "grams")
     member = member.repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j")
-    counted = member.mapInArrow(_count_links(percent), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    counted = member.mapInArrow(_tidied(_count_links(percent)), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
     few = named.where("m <= 2").select("node", (F.col("all_copies") - F.col("copies")).alias("links"))
     # Rows of the node itself are links, too, but for the row in question.
-    degree = named.select("node", "component_id", "copies").join(counted.union(few), "node").select("node", "component_id", (F.col("links") + F.col("copies") - 1).alias("verified_links"))
-    out = rows.join(degree, "node", "left")
-    return out.select(*plain, F.coalesce("verified_links", F.lit(0)).cast("long").alias("verified_links"))
+    degree = named.select("node", "component_id", "copies").join(counted.union(few), "node")
+    return rows, degree.select("node", "component_id", (F.col("links") + F.col("copies") - 1).alias("links"))
+
+
+def ngram_components(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, verified_links)``; one row per row of ``docs``.
+
+    ``verified_links`` is the exact number of other rows that the row links with, rows of an equal set
+    among them.
+    """
+    rows, found = ngram_rows(docs, k, percent, id_col, text_col, parts, count_links=True)
+    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
+    links = F.coalesce("links", F.lit(0)).cast("long").alias("verified_links")
+    return rows.join(found, "node", "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component, links)
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -432,13 +507,20 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with one document (the least doc_id) of each near-duplicate group.
+    """The rows of ``docs`` with one row of each near-duplicate group: the least (doc_id, hash of the text).
 
-    Rows without an n-gram stay.  Of repeated rows with the least doc_id of a group one stays;
-    rows with a null doc_id stay, since nothing names them.
+    Rows without an n-gram stay, and rows with a null doc_id, since nothing names them.  Rows are told
+    apart by doc_id and text: of repeated rows one stays, rows of one doc_id with unrelated texts all stay.
     """
-    group = ngram_components(docs, k, percent, count_links=False)
-    lost = group.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(lost, "doc_id", "left_anti")
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+    rows, component = ngram_rows(docs, k, percent)
+    named = rows.where("node is not null and id is not null").join(component, "node")
+    head = named.groupBy("component_id").agg(F.min(F.struct("id", "th")).alias("head"))
+    named = written(named.join(head, "component_id").groupBy("id", "th").agg(F.min(F.col("head") == F.struct("id", "th")).alias("kept"), F.count("*").alias("m")), "kept")
+    inner = {c: free_name(docs.columns, c) for c in ("id", "th")}
+    marked = docs.withColumns({inner["id"]: F.col("doc_id").cast("long"), inner["th"]: F.xxhash64(F.col("text").cast("string"))})
+    on = list(inner.values())
+    left = marked.join(named.where("not kept").select("id", "th").toDF(*on), on, "left_anti")
+    again = named.where("kept and m > 1").select("id", "th").toDF(*on)
+    if again.limit(1).count():
+        left = left.join(again, on, "left_anti").unionByName(left.join(again, on, "left_semi").dropDuplicates(on))
+    return left.drop(*on)
