@@ -8,7 +8,8 @@ nearly every set has as many non-empty ones as that argument needs; such a set s
 of empty fragments, which agree among unrelated sets.  (If either set of a pair has enough, one
 of its non-empty fragments agrees; if neither has, both send all.)  Candidates are then verified:
 the lesser counts of n-grams in fragments bound the overlap from above and drop most; for the
-others partial overlaps are counted fragment by fragment and summed per pair.
+others partial overlaps are counted fragment by fragment and summed per pair; there the order is cut so
+that a fragment holds some hundred n-grams, however long a text is.
 
 Documents with equal sets form one node.  Components come first, from links that can change them:
 within a key the first node is compared with all others, for each node one pair before the
@@ -40,8 +41,8 @@ from pyspark.sql import functions as F
 from .common import _words, as_bytes, drop_written, estimated_bytes, free_name, mix, shingles, slices, small_or_plain, table, tidy, written
 from .components import components
 
-#: Fragments for counting partial overlaps.
-OVERLAP_FRAGMENTS = 8
+#: Most n-grams, about, of a fragment in which partial overlaps are counted.
+FRAGMENT_GRAMS = 512
 #: Fragments whose counts of n-grams (a byte each, up to 255) bound an overlap.
 COUNTS = 128
 #: Nodes and n-grams that a block of a component holds, about.
@@ -209,23 +210,31 @@ def _gather(group: pa.Table) -> pa.Table:
     return pa.concat_tables([plain, found])
 
 
-def _set_rows(k: int):
-    """(node, fragment, grams) of each text, cut at fixed points of the global order."""
+def level(n: int) -> int:
+    """The global order is cut into 2^level fragments for pairs whose larger set has ``n`` n-grams."""
+    return ((n - 1) // FRAGMENT_GRAMS).bit_length()
+
+
+def _set_rows(k: int, percent: int):
+    """(node, level, frag, grams) of each text, cut at fixed points of the global order.
+
+    A set is cut for its own size and for that of the largest set it may be linked with.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts = (np.arange(1, OVERLAP_FRAGMENTS, dtype=np.uint64) << np.uint64(61)) // np.uint64(OVERLAP_FRAGMENTS) << np.uint64(3)
         for batch in slices(batches):
-            node, frag, grams = [], [], []
+            node, levels, frag, grams = [], [], [], []
             for text in as_bytes(batch.column(0)):
                 own = shingles(text, k)
-                if len(own):
-                    name = set_id(own)
+                for at in range(level(len(own)), level(len(own) * 100 // percent) + 1) if len(own) else ():
+                    name, cuts = set_id(own), np.arange(1, 1 << at, dtype=np.uint64) << np.uint64(64 - at)
                     for i, piece in enumerate(np.split(own, np.searchsorted(own, cuts))):
                         if len(piece):
                             node.append(name)
+                            levels.append(at)
                             frag.append(i)
                             grams.append(piece.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(frag, pa.int32()), pa.array(grams, pa.list_(pa.int64()))], names=["node", "frag", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(levels, pa.int32()), pa.array(frag, pa.int32()), pa.array(grams, pa.list_(pa.int64()))], names=["node", "level", "frag", "grams"])
 
     return run
 
@@ -315,9 +324,11 @@ def _late(percent: int):
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b, n_a, n_b) those with 100 * intersection >= percent * union."""
-    left = sets.select(F.col("node").alias("a"), "frag", F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("node").alias("b"), "frag", F.col("grams").alias("grams_b"))
-    partial = pairs.join(left, "a").join(right, ["b", "frag"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("part"))
+    left = sets.select(F.col("node").alias("a"), "level", "frag", F.col("grams").alias("grams_a"))
+    right = sets.select(F.col("node").alias("b"), "level", "frag", F.col("grams").alias("grams_b"))
+    steps = F.expr(f"(greatest(n_a, n_b) - 1) div {FRAGMENT_GRAMS}")
+    cut = pairs.withColumn("level", F.when(steps > 0, F.length(F.bin(steps))).otherwise(0))
+    partial = cut.join(left, ["a", "level"]).join(right, ["b", "level", "frag"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("part"))
     summed = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("shared"))
     return summed.where(f"100 * shared >= {percent} * (n_a + n_b - shared)").select("a", "b")
 
@@ -422,7 +433,7 @@ def ngram_rows(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", te
         return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
 
     def sets_of(pairs: DataFrame) -> DataFrame:
-        return written(texts_of(ends(pairs)).mapInArrow(_tidied(_set_rows(k)), "node long, frag int, grams array<long>"), "sets")
+        return written(texts_of(ends(pairs)).mapInArrow(_tidied(_set_rows(k, percent)), "node long, level int, frag int, grams array<long>"), "sets")
 
     def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
         """Pairs with the components of both ends, where these differ."""

@@ -143,13 +143,20 @@ def test_op4_learns_from_bags_and_locates(spark):
         labels.append((i, 1, int(y)))
     docs, lab = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     model = toxicity.fit(docs, lab)
-    got = {r.key: r.score for r in toxicity.score(docs, model).collect()}
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
     held = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
     assert np.mean([(got[i] >= 0.5) == (i % 5 == 0) for i in held]) > 0.97
     found = toxicity.locate(docs, model).collect()
     assert found and np.mean([("vile" in r.sentence or "scum" in r.sentence) for r in found]) > 0.9
+    # Ordinary sentences do not add up: a clean text stays, however long; the row cap is one on bytes, not on a text.
+    clean = [" ".join(rng.choice(plain) for _ in range(8)) for _ in range(4000)]
+    long = frame(spark, [(1, ". ".join(clean * 20), "s"), (2, ". ".join([*clean * 20, "w1 w2 vilename w3"]), "s")])
+    assert {r.doc_id: r.score >= 0.5 for r in toxicity.score(long, model).collect()} == {1: False, 2: True}
+    assert [r.worst_sentence for r in toxicity.score(long, model).where("n_offending = 1").collect()] == ["w1 w2 vilename w3"]
+    few = toxicity.fit(docs, lab, sample_bytes=40_000)
+    assert toxicity.score(docs, few).count() == len(rows)
     odd = frame(spark, ODD)
-    assert {r.score for r in toxicity.score(odd, model).where("key in (1, 2, 5)").collect()} == {0.0}
+    assert {r.score for r in toxicity.score(odd, model).where("doc_id in (1, 2, 5)").collect()} == {0.0}
     assert toxicity.clean(odd, lab).count() == len(ODD)
     none = toxicity.fit(docs, lab.limit(0))
     assert toxicity.score(docs, none).where("score >= 0.5").count() == 0
@@ -162,6 +169,12 @@ def test_op5_matches_sql_and_odd_rows(spark, small):
     assert out[4, "own text of document number 4 and more\nend 4"].n_removed == 1
     assert out[1, None].n_lines == 0 and out[6, "x" * 200_000].n_removed == 0
     assert line_dedup.remove_boilerplate(frame(spark, rows)).count() == len(rows)
+    # Short texts lose a long shared line, too; columns with the names of added and inner ones are kept.
+    passage = " ".join(f"shared{i}" for i in range(60))
+    wide = frame(spark, [(i, f"{passage}\nown {i}", f"s{i}") for i in range(9)]).selectExpr("*", "doc_id AS n_lines", "doc_id AS n_removed", "doc_id AS text_key", "doc_id AS places", "doc_id AS line", "doc_id AS salt")
+    got = line_dedup.remove_boilerplate(wide)
+    assert got.columns == [*wide.columns, "n_lines_", "n_removed_"]
+    assert all(r.text == f"own {i}" and {r.n_lines, r.n_removed, r.text_key, r.places, r.line, r.salt} == {i} and (r.n_lines_, r.n_removed_) == (2, 1) for r in got.collect() for i in [r.doc_id])
     copies = [(i, "the whole text\nis a copy", f"s{i}") for i in range(8)]
     assert line_dedup.remove_boilerplate(frame(spark, copies)).where("n_removed > 0").count() == 0
     assert line_dedup.remove_boilerplate(frame(spark, [])).count() == 0
@@ -280,6 +293,36 @@ def test_op8_counts_every_link(spark, monkeypatch, nodes, percent):
     assert got == want and max(want.values()) > 20
 
 
+def test_op8_fragments_of_long_sets(spark):
+    rng = random.Random(4)
+    texts = {}
+    for size in (510, 530, 1020, 1100, 5000):
+        words = [f"l{size}w{i}" for i in range(size)]
+        for edits in (0, 1, size // 60, size // 20):
+            near = list(words)
+            for at in rng.sample(range(size), edits):
+                near[at] = f"x{rng.randrange(10**9)}"
+            texts[len(texts)] = " ".join(near)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(frame(spark, [(i, t, "a") for i, t in texts.items()]), 3, 90, parts=3).collect()}
+    assert got == brute_components(texts, 3, 90) and [ngram_join.level(n) for n in (1, 512, 513, 1024, 1025)] == [0, 0, 1, 1, 2]
+
+
+def test_op8_hot_groups(spark, monkeypatch):
+    """Many nodes in common keys and different components, in several blocks; copies and null texts without number."""
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", 16)
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [None] * 300 + ["one exact copy of a text that is long enough"] * 300
+    texts += [" ".join([*passage, *(f"o{i}x{j}" for j in range(rng.randrange(3, 9)))]) for i in range(120)]
+    texts += [" ".join([*passage, *(f"n{j}" for j in range(20)), f"e{i}"]) for i in range(80)]
+    texts = dict(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(frame(spark, [(i, t, "a") for i, t in texts.items()]), 3, 90, parts=3).collect()}
+    assert got == brute_components(texts, 3, 90)
+    # Rows of one doc_id with unrelated texts are told apart.
+    kept = ngram_join.keep_one(frame(spark, [(1, "a b c d e f g", "s"), (2, "a b c d e f g", "s"), (2, "h i j k l m n o", "s"), (2, "h i j k l m n o", "s"), (3, None, "s")]))
+    assert sorted((r.doc_id, r.text) for r in kept.collect() if r.text) == [(1, "a b c d e f g"), (2, "h i j k l m n o")] and kept.where("text is null").count() == 1
+
+
 def test_op8_overlaps_in_column_blocks():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype("u8") for _ in range(30)]
@@ -350,7 +393,7 @@ def test_pipeline_stages(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     labels = spark.read.parquet(f"{small}/labels.parquet")
     clean = P.drop_toxic(spark, docs, small)
-    score = {r.key: r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    score = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
     assert sorted(r.doc_id for r in clean.collect()) == sorted(i for i, s in score.items() if s < 0.5)
     kept = P.drop_near_copies(spark, docs, small).select("doc_id").collect()
     groups = brute_components({r.doc_id: r.text for r in docs.collect()}, 5, 80)
