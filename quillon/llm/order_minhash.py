@@ -1,13 +1,21 @@
 """Order MinHash document fingerprints, with DataFrame functions only.
 
 k-mers are runs of ``k`` words.  Every k-mer carries its occurrence number, so repeats count.
-One hash of (k-mer, occurrence) deals the k-mers into ``bins`` (one-permutation hashing in
-place of ``bins`` hash functions); in each bin the ``tuple_size`` least are selected, put in
-text order, and the tuple of their k-mers is hashed.  Two texts agree in a bin only if the
-selected k-mers and their order agree, which falls with the edit distance.
-
-A text of fewer than k words (but some) has one k-mer, the whole sequence; null and empty texts
-have no k-mer, and their fingerprints are equal.  Equal texts have equal fingerprints.
+Each of ``draws`` orders of all (k-mer, occurrence) selects the ``tuple_size`` least; they are put in
+text order, and the tuple of their k-mers is hashed.  Two texts agree in a draw only if the selected
+k-mers and their order agree, which falls with the edit distance.
+
+The orders come from one hash: its upper bits name a place on a circle of ``draws`` places, and order j
+goes by the distance round the circle from place j, then by the rest of the hash.  Each single order is
+that of random values, as with a hash function of its own, at every length of text: a text with few k-mers
+is no special case, its least k-mers are merely found at more distant places.  The orders depend on one
+another (texts of few k-mers repeat tuples), which widens the spread of a likeness and moves no mean.
+
+A text of fewer than k words (but some) has one k-mer, the whole sequence, and its tuples have that
+one member; null and empty texts have no k-mer, and their fingerprints are empty and equal.  Equal texts
+have equal fingerprints.  Positions have 31 bits, as many as arrays have entries; hashes of k-mers 33.
+Rows with the same id are told apart by their texts; a null id comes below all others.  Extra columns are
+ignored by the query; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,10 +26,11 @@ from pyspark.sql import functions as F
 from .common import table
 
 K = 5
-BINS = 64
+#: Orders, a power of two.
+DRAWS = 64
 TUPLE = 2
-#: Bits of a packed k-mer: hash above, position below.  Positions wrap beyond this many words.
-POSITION_BITS = 23
+#: Bits of a packed k-mer: hash above, position below.
+POSITION_BITS = 31
 
 
 def _let(value: Column, use) -> Column:
@@ -70,27 +79,38 @@ def _numbered(s: Column) -> Column:
     return F.when(single, s).otherwise(F.sort_array(_let(heads, runs)))
 
 
-def fingerprint(text: Column, k: int = K, bins: int = BINS, tuple_size: int = TUPLE) -> Column:
-    """Array of longs, one for each bin that has k-mers: the bin, and below it 32 bits of hash."""
-    shift = 64 - (bins - 1).bit_length()
+def fingerprint(text: Column, k: int = K, draws: int = DRAWS, tuple_size: int = TUPLE) -> Column:
+    """Array of longs, one for each draw (none without k-mers): the draw, and below it 32 bits of hash."""
+    bits = draws.bit_length() - 1
 
-    def bin_of(x: Column) -> Column:
-        return F.shiftrightunsigned(x, shift)
+    def place(x: Column) -> Column:
+        # Longs are sorted with their sign, so the circle starts at the negative ones.
+        return F.shiftright(x, 64 - bits) + F.lit(draws // 2)
 
     def select(s: Column) -> Column:
-        # Sorted by hash, so each bin is a run and its least come first.
-        least = F.filter(s, lambda x, i: (i < tuple_size) | (bin_of(F.get(s, i - tuple_size)) != bin_of(x)))
+        # Sorted by place and hash.  What comes after `tuple_size` others of its place is in no tuple.
+        least = F.filter(s, lambda x, i: (i < tuple_size) | (place(F.get(s, i - tuple_size)) != place(x)))
 
         def tuples(c: Column) -> Column:
-            def one(x: Column, i: Column) -> Column:
-                own = F.filter(F.slice(c, i + 1, F.lit(tuple_size)), lambda y: bin_of(y) == bin_of(x))
+            members = F.least(F.lit(tuple_size), F.size(c))
+
+            def at(i: Column) -> Column:
+                chosen = F.transform(F.sequence(F.lit(0), members - 1), lambda d: F.get(c, (i + d) % F.size(c)))
                 # Position above, hash below: sorting restores the text order.
-                placed = F.sort_array(F.transform(own, lambda y: F.shiftleft(y, 64 - POSITION_BITS).bitwiseOR(F.shiftrightunsigned(y, POSITION_BITS))))
+                placed = F.sort_array(F.transform(chosen, lambda y: F.shiftleft(y, 64 - POSITION_BITS).bitwiseOR(F.shiftrightunsigned(y, POSITION_BITS))))
                 value = F.xxhash64(F.transform(placed, lambda y: y.bitwiseAND(F.lit((1 << (64 - POSITION_BITS)) - 1))))
-                return F.shiftleft(bin_of(x), 32).bitwiseOR(value.bitwiseAND(F.lit(0xFFFFFFFF)))
+                return value.bitwiseAND(F.lit(0xFFFFFFFF))
+
+            # The first of a place serves the draws from behind the place before it up to its own; draws
+            # behind the last place go round to the first.
+            def served(x: Column, i: Column) -> Column:
+                before = F.when(i == 0, F.lit(-1)).otherwise(place(F.get(c, i - 1)))
+                many = (place(x) - before).cast("int")
+                return F.when(many > 0, F.array_repeat(at(i), many)).otherwise(F.array().cast("array<bigint>"))
 
-            first = F.transform(c, lambda x, i: F.when((i == 0) | (bin_of(F.get(c, i - 1)) != bin_of(x)), one(x, i)))
-            return F.filter(first, lambda v: v.isNotNull())
+            rest = F.array_repeat(at(F.lit(0)), (F.lit(draws - 1) - place(F.get(c, F.size(c) - 1))).cast("int"))
+            drawn = F.concat(F.flatten(F.transform(c, served)), rest)
+            return F.when(F.size(c) == 0, F.array().cast("array<bigint>")).otherwise(F.transform(drawn, lambda v, j: F.shiftleft(j.cast("long"), 32).bitwiseOR(v)))
 
         return _let(least, tuples)
 
@@ -98,14 +118,14 @@ def fingerprint(text: Column, k: int = K, bins: int = BINS, tuple_size: int = TU
 
 
 def as_string(print_: Column) -> Column:
-    """Ten hex digits for each filled bin: two of the bin, eight of the hash."""
-    return F.array_join(F.transform(print_, lambda x: F.lpad(F.lower(F.hex(x)), 10, "0")), "")
+    """Eight hex digits for each draw; empty without k-mers."""
+    return F.array_join(F.transform(print_, lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal bins among those that at least one of two fingerprints fills; 1 for two empty ones."""
-    filled = F.size(F.array_union(F.transform(a, lambda x: F.shiftright(x, 32)), F.transform(b, lambda x: F.shiftright(x, 32))))
-    return F.when(filled == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / filled)
+    """Share of draws in which two fingerprints agree; 1 for two empty ones, 0 if one is."""
+    most = F.greatest(F.size(a), F.size(b))
+    return F.when(most == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / most)
 
 
 def with_next(docs: DataFrame, id_col: str, carried: list[str], buckets: int) -> DataFrame:

@@ -80,6 +80,38 @@ def test_op1_order_and_repeats_count(spark):
     assert r.a == 1 and r.e == 1 and r.b < 0.8 and 0.5 < r.c < 1
 
 
+def textbook_order_minhash(a, b, k=5, draws=400, members=2):
+    """Share of agreeing draws with a hash function of its own for each draw."""
+
+    def kmers(text):
+        words, seen, out = text.split(), defaultdict(int), []
+        for i in range(max(1, len(words) - k + 1)):
+            m = " ".join(words[i : i + k])
+            out.append((m, seen[m], i))
+            seen[m] += 1
+        return out
+
+    def draw(rows, j):
+        least = sorted(rows, key=lambda r: hashlib.blake2b(f"{j} {r[0]} {r[1]}".encode()).digest())[:members]
+        return [r[0] for r in sorted(least, key=lambda r: r[2])]
+
+    x, y = kmers(a), kmers(b)
+    return np.mean([draw(x, j) == draw(y, j) for j in range(draws)])
+
+
+@pytest.mark.parametrize("size", [12, 24, 48, 96, 200, 400])
+def test_op1_agrees_with_the_textbook_at_every_length(spark, size):
+    pairs = []
+    for n in range(60):
+        words = [f"w{size}x{n}x{i}" for i in range(size)]
+        quarters = [words[i * size // 4 : (i + 1) * size // 4] for i in range(4)]
+        pairs.append((" ".join(words), " ".join(sum(quarters[::-1], []))))
+    want = np.mean([textbook_order_minhash(*p, draws=64) for p in pairs[:12]])
+    p = order_minhash.fingerprint
+    got = spark.createDataFrame(pairs, "a string, b string").select(order_minhash.likeness(p(F.col("a")), p(F.col("b"))).alias("x"), F.length(order_minhash.as_string(p(F.col("a")))).alias("n")).collect()
+    assert abs(np.mean([r.x for r in got]) - want) < 0.06 and {r.n for r in got} == {64 * 8}
+
+
 def test_op1_odd_rows(spark):
     rows = order_minhash.with_next(frame(spark, ODD).select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id", ["text"], 4).collect()
     assert len(rows) == len(ODD)
