@@ -1,8 +1,9 @@
 """Baseline JPEG as a media column: writer, reader, DC-only thumbnails and their hashes.
 
 The writer stores bytes losslessly as quantised coefficients, the format's own unit: 64 bytes
-are one greyscale block in zigzag order, quantisation steps are 1, and the byte 193, which UTF-8 never
-has, is a coefficient of zero.
+are one greyscale block in zigzag order and quantisation steps are 1.  A byte is stored by its rank in
+``FREQUENT``, so that bytes that are frequent in texts are small coefficients with short codes; the byte
+193, which UTF-8 never has, is a coefficient of zero.
 Nine blocks (576 bytes) make a restart interval.  Images are 72 samples wide or a multiple of
 that, so that 65,500 lines suffice for texts of any length; blocks behind the payload are empty,
 and a comment holds the payload's length.
@@ -12,7 +13,9 @@ components, with or without restart intervals).  All restart intervals of a batc
 step with one another, so the loop over symbols is numpy work on thousands of intervals.  Luminance
 thumbnails are made from the DC coefficients alone, one pixel per block.
 
-A null text is empty.  Equal texts have equal images.  Damaged images raise ``JpegError``.
+A null text is empty.  Equal texts have equal images; repeated rows are stored each for itself, a null id
+stays null, extra columns are ignored, an empty table gives an empty result.  Damaged images raise
+``JpegError``.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices, table
+from .common import as_bytes, slices, table, written
 
 UNIT = 576
 #: The byte that is stored as zero.
@@ -44,11 +47,21 @@ class JpegError(ValueError):
     """An image that is damaged or not baseline."""
 
 
-# Huffman tables of the writer, by rule: sizes of text coefficients get the short codes, in this
-# order, the last of them 8 bits; everything else has 16 bits (8 for DC).
-_AC_SHORT = [0x07, 0x08, 0x06, 0x05, 0x04, 0x03, 0x02, 0x01]
-_AC_LONG = [0x00, 0xF0] + [run << 4 | size for run in range(16) for size in range(1, 11) if (run << 4 | size) not in _AC_SHORT]
-AC_TABLE = [(i + 1, s) for i, s in enumerate(_AC_SHORT)] + [(16, s) for s in _AC_LONG]
+#: Bytes by falling frequency in texts, about; all others follow by value.  The 255 is padding.
+FREQUENT = b" etaoinsrhldcum\xff.fpgwybvk,\n\xc3"
+#: The coefficient of each byte: 1, -1, 2, -2 and so on by rank, zero for ``ZERO``.
+COEFFICIENTS = np.zeros(256, np.int64)
+for _rank, _byte in enumerate([*FREQUENT, *(b for b in range(256) if b not in FREQUENT and b != ZERO)]):
+    COEFFICIENTS[_byte] = (_rank // 2 + 1) * (1 - 2 * (_rank % 2))
+#: The byte of each coefficient from -128 to 128; -1 where there is none.
+_BYTES = np.full(257, -1, np.int64)
+_BYTES[COEFFICIENTS + 128] = np.arange(256)
+
+# Huffman tables of the writer: short codes for the sizes of text coefficients without zeros before
+# them, as (length, symbol); everything else has 16 bits (4 for DC).
+_AC_SHORT = [(2, 0x01), (2, 0x02), (2, 0x03), (3, 0x04), (4, 0x05), (5, 0x06), (6, 0x07), (7, 0x08)]
+_AC_LONG = [0x00, 0xF0] + [run << 4 | size for run in range(16) for size in range(1, 11) if (run << 4 | size) not in {s for _, s in _AC_SHORT}]
+AC_TABLE = _AC_SHORT + [(16, s) for s in _AC_LONG]
 DC_TABLE = [(4, s) for s in range(12)]
 
 
@@ -75,7 +88,7 @@ _DC_CODE, _DC_LEN = _vectors(DC_TABLE)
 _AC_CODE, _AC_LEN = _vectors(AC_TABLE)
 _SIZE = np.array([abs(v).bit_length() for v in range(-1024, 1025)], np.int64)
 #: Bits and length of an AC coefficient without zeros before it, by stored byte.
-_BYTE = np.arange(256) - ZERO
+_BYTE = COEFFICIENTS
 _BYTE_SIZE = _SIZE[_BYTE + 1024]
 _BYTE_BITS = (_AC_CODE[_BYTE_SIZE] << _BYTE_SIZE | np.where(_BYTE < 0, _BYTE + (1 << _BYTE_SIZE) - 1, _BYTE)).astype(np.uint32)
 _BYTE_LEN = (_AC_LEN[_BYTE_SIZE] + _BYTE_SIZE).astype(np.int32)
@@ -90,6 +103,8 @@ def _dht(kind: int, lengths: list[tuple[int, int]]) -> bytes:
 
 
 _TABLES = _segment(0xC4, _dht(0x00, DC_TABLE) + _dht(0x10, AC_TABLE))
+#: Without a byte that is stored as zero no runs occur: the first codes, the last of them an empty block's, do.
+_FEW_TABLES = _segment(0xC4, _dht(0x00, DC_TABLE) + _dht(0x10, AC_TABLE[: len(_AC_SHORT) + 1]))
 
 
 def pad(text: bytes) -> bytes:
@@ -104,7 +119,7 @@ def _shape(payload: int) -> tuple[int, int]:
     return wide, -(-units // wide)
 
 
-def _header(payload: int) -> bytes:
+def _header(payload: int, runs: bool = True) -> bytes:
     wide, lines = _shape(payload)
     return b"".join(
         (
@@ -112,7 +127,7 @@ def _header(payload: int) -> bytes:
             _segment(0xFE, _NOTE + str(payload).encode()),
             _segment(0xDB, b"\0" + b"\x01" * 64),
             _segment(0xC0, b"\x08" + (8 * lines).to_bytes(2, "big") + (8 * BLOCKS * wide).to_bytes(2, "big") + b"\x01\x01\x11\0"),
-            _TABLES,
+            _TABLES if runs else _FEW_TABLES,
             _segment(0xDD, BLOCKS.to_bytes(2, "big")),
             _segment(0xDA, b"\x01\x01\x00\x00\x3f\x00"),
         )
@@ -122,7 +137,7 @@ def _header(payload: int) -> bytes:
 def _tokens(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bits and lengths of the symbols of blocks of bytes, and symbols per block."""
     n = len(raw)
-    level = raw[:, 0].astype(np.int64) - ZERO
+    level = COEFFICIENTS[raw[:, 0]]
     dc = np.diff(level.reshape(-1, BLOCKS), axis=1, prepend=0).ravel()
     size = _SIZE[dc + 1024]
     dc_bits = _DC_CODE[size] << size | np.where(dc < 0, dc + (1 << size) - 1, dc)
@@ -197,7 +212,7 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     cut = ends[stop] + np.searchsorted(np.sort(place), ends[stop], side="right")
     body, begin_at, images = done.tobytes(), 0, []
     for p, c in zip(payloads, cut.tolist(), strict=True):
-        images.append(_header(len(p)) + body[begin_at:c] + b"\xff\xd9")
+        images.append(_header(len(p), ZERO in p) + body[begin_at:c] + b"\xff\xd9")
         begin_at = c
     return images
 
@@ -473,7 +488,10 @@ def payload_of(frame: Frame, coefs: np.ndarray) -> bytes:
     """The bytes that :func:`encode` stored."""
     if not frame.note.startswith(_NOTE):
         raise JpegError("no payload length")
-    return (coefs + ZERO).astype(np.uint8).tobytes()[: int(frame.note[len(_NOTE) :])]
+    found = _BYTES[np.clip(coefs, -129, 128) + 128]
+    if (coefs < -128).any() or (found < 0).any():
+        raise JpegError("a coefficient is no byte")
+    return found.astype(np.uint8).tobytes()[: int(frame.note[len(_NOTE) :])]
 
 
 def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -521,5 +539,5 @@ def read_media(media: DataFrame) -> DataFrame:
 
 
 def op9_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text stored as a JPEG, read back, with its digests and thumbnail hash."""
-    return read_media(encode_texts(table(spark, sf_dir, "documents")))
+    """Every text stored as a JPEG in a table, read back from it, with its digests and thumbnail hash."""
+    return read_media(written(encode_texts(table(spark, sf_dir, "documents")), "media"))

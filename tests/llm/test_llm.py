@@ -375,6 +375,12 @@ def test_op9_round_trip(spark):
         p, r = jpeg.pad(raw), got[i]
         assert (r.n_bytes, r.payload_bytes) == (len(raw), len(p)) and len(p) % 576 == 0 and len(p) >= 576
         assert r.payload_sha256 == hashlib.sha256(p).hexdigest() and r.tail_crc32 == zlib.crc32(p[-32:])
+        image = jpeg.encode([p])[0]
+        assert (r.media_bytes, r.media_sha256) == (len(image), hashlib.sha256(image).hexdigest())
+        # The thumbnail by hand: one pixel for each 64 bytes, from the first of them.
+        thumb = np.clip(np.rint(np.array([jpeg.COEFFICIENTS[p[j]] for j in range(0, len(p), 64)]) / 8 + 128), 0, 255).reshape(-1, 9 * jpeg._shape(len(p))[0])
+        assert r.feature == f"{r.width}x{r.height}:{jpeg.thumbnail_hash(thumb)}" and (r.height, r.width) == (8 * thumb.shape[0], 8 * thumb.shape[1])
+    assert jpeg.read_media(jpeg.encode_texts(frame(spark, []))).count() == 0
 
 
 def test_op9_any_bytes_and_damage():
@@ -385,7 +391,7 @@ def test_op9_any_bytes_and_damage():
     f, c = frames[0], jpeg.decode(frames[:1])[0]
     thumb = jpeg.thumbnail(f, c)
     assert thumb.shape == (f.height // 8, f.width // 8)
-    dc = np.frombuffer(payloads[0], np.uint8).reshape(-1, 64)[:, 0].astype(int) - jpeg.ZERO
+    dc = jpeg.COEFFICIENTS[np.frombuffer(payloads[0], np.uint8).reshape(-1, 64)[:, 0]]
     assert (thumb.ravel() == np.clip(np.rint(dc / 8 + 128), 0, 255)).all()
     for i in range(0, len(images[0]), 97):
         try:
