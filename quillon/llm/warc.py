@@ -11,7 +11,11 @@ Archives are rows ``(path, content)``, the shape of Spark's ``binaryFile`` sourc
 stored once: the record with the largest id is the response, the others revisit it.  With a
 minimum length, shorter payloads are all stored as responses.  A null payload is empty.  Rows
 that repeat the largest id with the same payload are responses as well.  A null id is kept
-as null and comes below all others.
+as null and comes below all others.  Line breaks in a url are written as %0D and %0A.  Long payloads are
+one record like others (an archive holds one record at least); extra columns are ignored; an empty table
+gives no archive.
+
+``checked_revisits`` holds the digests of revisits against those of the records they refer to.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices, table, written
+from .common import as_bytes, salted_left_join, slices, table, written
 
 SKIPPABLE = 0x184D2A5D
 ZSTD_MAGIC = 0xFD2FB528
@@ -35,6 +39,8 @@ DICTIONARY_BYTES = 16 << 10
 TRAIN_RECORDS, TRAIN_BYTES = 128, 4 << 10
 #: An archive is closed once it holds so many bytes of payload.
 ARCHIVE_BYTES = 8 << 20
+#: Bytes that the reader feeds at a time.
+STEP = 16 << 10
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -158,15 +164,18 @@ def read_archive(content: bytes) -> Iterator[Record]:
         first = False
         if magic != ZSTD_MAGIC:
             raise WarcError("not a Zstandard frame")
-        stream = decoder.decompressobj()
-        try:
-            raw = stream.decompress(memoryview(content)[at:])
-        except zstandard.ZstdError as e:
-            raise WarcError(str(e)) from e
-        if not stream.eof:
-            raise WarcError("frame is cut short")
-        at = len(content) - len(stream.unused_data)
-        yield parse_record(raw)
+        # The frame's end is found by feeding steps, so no record copies the rest of the archive.
+        stream, parts, view = decoder.decompressobj(), [], memoryview(content)
+        while not stream.eof:
+            if at >= len(content):
+                raise WarcError("frame is cut short")
+            try:
+                parts.append(stream.decompress(view[at : at + STEP]))
+            except zstandard.ZstdError as e:
+                raise WarcError(str(e)) from e
+            at = min(at + STEP, len(content))
+        at -= len(stream.unused_data)
+        yield parse_record(b"".join(parts))
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +208,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     size = F.octet_length("html")
     least = -(1 << 63)
     shared = rows.where(size >= min_bytes).groupBy("sha").agg(F.max(F.coalesce("page_id", F.lit(least))).alias("top"), F.count("*").alias("n")).where("n > 1").select("sha", "top")
-    marked = rows.join(shared, "sha", "left")
+    marked = salted_left_join(rows, written(shared, "shared"), ["sha"], 96)
     again = F.coalesce((size >= min_bytes) & (F.col("top") != F.coalesce("page_id", F.lit(least))), F.lit(False))
     return marked.select("page_id", "url", "html", F.when(again, F.col("top")).alias("refers_to"), again.alias("again")).mapInArrow(_pack, "path string, content binary")
 
@@ -235,10 +244,17 @@ def read_records(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInArrow(_unpack, "path string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
+def checked_revisits(records: DataFrame) -> DataFrame:
+    """Revisits ``(page_id, refers_to, payload_digest)`` that no response of the same digest answers for."""
+    answers = records.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest").distinct()
+    asked = records.where("record_type = 'revisit'").select("page_id", "refers_to", "payload_digest")
+    return asked.alias("q").join(answers.alias("a"), F.col("q.refers_to").eqNullSafe(F.col("a.refers_to")) & (F.col("q.payload_digest") == F.col("a.payload_digest")), "left_anti")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive every page, then read the written archives back."""
     archives = written(write_archives(table(spark, sf_dir, "pages")), "warc")
     return read_records(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-__all__ = ["Record", "WarcError", "op2_warc", "pack_archive", "parse_record", "read_archive", "read_records", "record_bytes", "train_dictionary", "write_archives"]
+__all__ = ["Record", "WarcError", "checked_revisits", "op2_warc", "pack_archive", "parse_record", "read_archive", "read_records", "record_bytes", "train_dictionary", "write_archives"]

@@ -6,6 +6,8 @@ import base64
 import hashlib
 import os
 import random
+import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -134,6 +136,37 @@ def test_op2_round_trip(spark):
     assert warc.read_records(warc.write_archives(pages.limit(0))).count() == 0
 
 
+def test_op2_pages_table_and_files(spark, small, tmp_path):
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    html = {r.page_id: (r.html or "").encode() for r in pages.collect()}
+    top = {}
+    for i, raw in html.items():
+        top[raw] = max(i, top.get(raw, i))
+    got = queries.QUERIES["op2_warc"](spark, small).collect()
+    want = {(i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "response" if top[raw] == i else "revisit", None if top[raw] == i else top[raw]) for i, raw in html.items()}
+    assert len(got) == len(html) and {tuple(r) for r in got} == want
+    # The archives are files like any other: read back by Spark's own binary source.
+    for r in warc.write_archives(pages).collect():
+        (tmp_path / r.path).write_bytes(r.content)
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    read = warc.read_records(files)
+    assert {tuple(r) for r in read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()} == want
+    assert warc.checked_revisits(read).count() == 0
+    bad = read.withColumn("payload_digest", F.when(F.col("record_type") == "revisit", F.lit("X")).otherwise(F.col("payload_digest")))
+    assert warc.checked_revisits(bad).count() == read.where("record_type = 'revisit'").count()
+
+
+def test_op2_reads_in_linear_time():
+    def seconds(n):
+        payloads = [os.urandom(1500).hex().encode()] * n
+        blob = warc.pack_archive([warc.record_bytes(i, "u", p, warc.digest_of(p), None, False) for i, p in enumerate(payloads)], b"")
+        start = time.perf_counter()
+        assert sum(1 for _ in warc.read_archive(blob)) == n
+        return time.perf_counter() - start
+
+    assert seconds(8000) < 8 * seconds(2000) + 0.5
+
+
 def test_op2_damage(spark):
     payloads = [os.urandom(20) + b"shared words here " * 200 for _ in range(80)]
     records = [warc.record_bytes(i, "u", p, warc.digest_of(p), None, False) for i, p in enumerate(payloads)]
@@ -157,6 +190,20 @@ def test_op3_rules_and_odd_urls(spark, small):
     assert got[3] == ("www.example.com", "example.com/en/7", "allow") and got[4][1:] == ("com/en/", "block") and got[5][1] is None
     assert got[6][1:] == ("example.net/de/8", "block") and got[7][1] is None and got[8][1:] == ("net/de/", "allow") and got[9][2] == "block" and got[10][1] is None
     assert got[11][2] == "block" and got[12][0] == "a:"
+    assert got[11][1] == "pattern:||adult-"
+    # Rules without a token are tried on every URL; site rules take hosts in any case; no column name is in the way.
+    odd = [url_filter.pattern_rule("*trk"), url_filter.Rule("pattern:all", "block", "^\\S", (), 0), url_filter.host_rule("allow", "XCOM/")]
+    got = {r.page_id: (r.matched, r.verdict) for r in url_filter.judge(df, odd).collect()}
+    assert got[5] == ("XCOM/", "allow") and got[6] == ("pattern:all", "block") and got[1] == (None, "allow")
+    wide = df.selectExpr("*", *[f"page_id AS {c}" for c in ("host", "path", "matched", "verdict", "tokens", "best", "whole", "salt", "rules", "token")])
+    same = url_filter.judge(wide, url_filter.default_rules())
+    assert same.columns == [*wide.columns, "host_", "path_", "matched_", "verdict_"]
+    plain = {r.page_id: (r.host, r.path, r.matched, r.verdict) for r in url_filter.judge(df, url_filter.default_rules()).collect()}
+    assert {r.page_id: (r.host_, r.path_, r.matched_, r.verdict_) for r in same.collect()} == plain
+    assert all(len({r[c] for c in wide.columns if c != "url"}) == 1 for r in same.collect())
+    for text, url, hit in [("||ads.", "my.ads.example/x", 1), ("||ads.", "loads.example/x", 0), ("/ads/*/frame^", "a.b/ADS/1/frame", 1), (".exe|", "a.b/x.exe", 1), (".exe|", "a.b/x.exe/y", 0), ("^pixel.gif|", "a.b/pixel.gif", 1), ("|ads.", "x.ads.b/", 0)]:
+        assert bool(re.search(url_filter.pattern_rule(text).pattern, url)) == bool(hit), (text, url)
+    assert url_filter.pattern_rule("||ads.").tokens == ("ads",) and url_filter.pattern_rule("/ads/*/frame^").tokens == ("ads", "frame") and url_filter.pattern_rule("||clk*^").tokens == ()
     assert url_filter.judge(df, []).where("verdict <> 'allow'").count() == 0
     assert url_filter.judge(df.limit(0), url_filter.default_rules()).count() == 0
 
