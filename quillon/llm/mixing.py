@@ -1,16 +1,21 @@
 """Mixing sources to target weights by min-cost flow.
 
-A document may belong to several sources.  Documents are aggregated by membership pattern (the
-set of sources); each pattern offers its words once at no cost and once more at a cost, a convex
-cost of repetition.  A min-cost flow routes that capacity to the quotas of the sources.  The flow
-of a pattern says how often its documents are taken; which ones get the partial repetition is
-decided by a seeded hash, size class by size class, so that each class takes its share and what
-a class leaves over passes to the next smaller one.
-
-Patterns and sources are counted in aggregates.  Networks that share no source are solved apart.
-Null sources are a source of their own, last in order.  A null text has no words.  The
-selection depends on the doc_id, the text and the seed alone, so reruns agree and repeated rows
-are treated alike.  Extra columns are carried by ``mix``.
+A text that stands in several sources belongs to all of them.  Rows are aggregated by membership pattern:
+the set of the sources in which their text (by hash) is found.  A pattern offers the words of its distinct
+texts once at no cost; every further time costs more, a convex cost of repetition, whichever source's row
+is used.  So quotas are filled from texts of one source first where a shared text could serve several.
+A min-cost flow routes that capacity to the quotas of the sources; what a source's own rows can take of a
+pattern is bounded by their number of repetitions.  The flow between a pattern and a source says how often
+the rows of that cell are taken; which ones get the partial repetition is decided by a seeded hash, size
+class by size class, so that each class takes its share and what a class leaves over passes to the next
+smaller one.
+
+The driver holds one row for each pattern and source (at most ``MOST_CELLS``; beyond that ``plan``
+refuses).  Cuts within a cell are found on the executors, from sums of size class and hash bucket.
+Networks that share no source are solved apart.  Null sources are a source of their own, last in order.
+A null text has no words.  The selection depends on the doc_id, the text and the seed alone, so reruns agree
+and repeated rows are treated alike.  Extra columns are carried by ``mix`` unchanged, whatever their
+names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,10 +23,11 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, table, written
+from .common import WORD_PATTERN, free_name, salted_left_join, table, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -29,6 +35,8 @@ REPEATS = 2
 SEED = 17
 #: Hash buckets of a size class, from which the cut is chosen.
 BUCKETS = 512
+#: Pairs of pattern and source that the driver's flow may have.
+MOST_CELLS = 1_000_000
 
 
 def targets(sizes: dict, weights: dict, share: float = SHARE, most: float = REPEATS) -> dict:
@@ -48,19 +56,20 @@ def targets(sizes: dict, weights: dict, share: float = SHARE, most: float = REPE
     return out
 
 
-def min_cost_flow(capacity: dict, quotas: dict, repeats: int = REPEATS) -> dict:
-    """Words of each (pattern, source) for patterns (tuples of sources) of given size.
+def min_cost_flow(cells: dict, distinct: dict, quotas: dict, repeats: int = REPEATS) -> dict:
+    """Words routed for each (pattern, source), of the sizes of these cells.
 
-    The n-th use of a pattern's words costs n - 1 a word.  As much of the quotas is filled as the
-    patterns allow, at the least cost, by successive shortest paths with potentials.
+    ``distinct`` has the words of a pattern's distinct texts: their n-th use costs n - 1 a word.  A cell
+    gives at most ``repeats`` times its size.  As much of the quotas is filled as that allows, at the
+    least cost, by successive shortest paths with potentials.
     """
     flow: dict = defaultdict(float)
-    for patterns, sources in _networks(capacity, quotas):
-        flow.update(_solve({p: capacity[p] for p in patterns}, {s: quotas[s] for s in sources}, repeats))
+    for patterns, sources in _networks(distinct, quotas):
+        flow.update(_solve({p: distinct[p] for p in patterns}, {(p, s): cells[p, s] for p in patterns for s in p if (p, s) in cells}, {s: quotas[s] for s in sources}, repeats))
     return dict(flow)
 
 
-def _networks(capacity: dict, quotas: dict):
+def _networks(patterns, quotas: dict):
     """Patterns and sources that hang together."""
     parent = {s: s for s in quotas}
 
@@ -70,11 +79,11 @@ def _networks(capacity: dict, quotas: dict):
             s = parent[s]
         return s
 
-    for p in capacity:
+    for p in patterns:
         for s in p[1:]:
             parent[root(s)] = root(p[0])
     groups: dict = defaultdict(lambda: ([], []))
-    for p in capacity:
+    for p in patterns:
         if p:
             groups[root(p[0])][0].append(p)
     for s in quotas:
@@ -82,7 +91,7 @@ def _networks(capacity: dict, quotas: dict):
     return [g for g in groups.values() if g[0]]
 
 
-def _solve(capacity: dict, quotas: dict, repeats: int) -> dict:
+def _solve(distinct: dict, cells: dict, quotas: dict, repeats: int) -> dict:
     edges: list[list] = []  # to, room, cost
     out: dict = defaultdict(list)
 
@@ -94,11 +103,17 @@ def _solve(capacity: dict, quotas: dict, repeats: int) -> dict:
         return len(edges) - 2
 
     routes = {}
-    for p, size in sorted(capacity.items(), key=lambda x: repr(x[0])):
-        for n in range(repeats):
-            add("start", ("p", p), float(size), n)
-        for s in p:
-            routes[p, s] = add(("p", p), ("s", s), float("inf"), 0)
+    room: dict = defaultdict(float)
+    for (p, s), size in sorted(cells.items(), key=lambda x: repr(x[0])):
+        room[p] += repeats * size
+        routes[p, s] = add(("p", p), ("s", s), float(repeats * size), 0)
+    for p, size in sorted(distinct.items(), key=lambda x: repr(x[0])):
+        n = 0
+        while room[p] > 0 and size > 0:
+            # Few uses cost apart; what copies allow beyond them is one more step.
+            part = min(float(size), room[p]) if n < 2 * repeats else room[p]
+            add("start", ("p", p), part, n)
+            room[p], n = room[p] - part, n + 1
     for s, quota in sorted(quotas.items(), key=lambda x: repr(x[0])):
         add(("s", s), "stop", float(quota), 0)
     price: dict = defaultdict(float)
@@ -153,56 +168,135 @@ def cuts(cells: list[tuple[int, int, int]], extra: float) -> dict[int, int]:
     return out
 
 
+def turned_cuts(cells: list[tuple[int, int, int]], extra: float, turns: int = 16) -> tuple[int, dict[int, int]]:
+    """The first bucket and :func:`cuts` from there, for the turn that comes nearest to ``extra``.
+
+    With many documents the first turn is near enough; with few the others offer other sums.
+    """
+    best = None
+    for start in range(0, BUCKETS, BUCKETS // turns):
+        turned = [(c, (b - start) % BUCKETS, w) for c, b, w in cells]
+        found = cuts(turned, extra)
+        off = abs(extra - sum(w for c, b, w in turned if b < found[c]))
+        if best is None or off < best[0]:
+            best = (off, start, found)
+        if best[0] <= 0.001 * extra:
+            break
+    return best[1:]
+
+
 def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def plan(docs: DataFrame, weigh=None, share: float = SHARE, repeats: int = REPEATS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """``(units, choice)``.
+def units(docs: DataFrame, inner: dict, seed: int = SEED) -> DataFrame:
+    """``docs`` with the columns of selection, under the names of ``inner``: size, size class, hash bucket, mark of the text, cell."""
+    size, mark = words(F.col("text")), F.xxhash64(F.col("text").isNull(), F.col("text").cast("string"))
+    out = docs.withColumns({inner["size"]: size, inner["mark"]: mark, inner["source"]: F.col("source").cast("string")})
+    size = F.col(inner["size"])
+    level = F.when(size > 0, F.floor(F.log2(size.cast("double"))) + 1).otherwise(0).cast("int")
+    return out.withColumns({inner["level"]: level, inner["bucket"]: F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col(inner["mark"])), F.lit(BUCKETS)).cast("int")})
+
+
+_CHOICE = "pattern string, source string, level int, base int, start int, cut int, got long"
+
+
+def _cut_cell(rows: pd.DataFrame) -> pd.DataFrame:
+    """Cuts of one cell: at most the size classes times the hash buckets as rows."""
+    extra, base = float(rows["extra"].iloc[0]), int(rows["base"].iloc[0])
+    start, chosen = turned_cuts(list(zip(rows["level"].tolist(), rows["bucket"].tolist(), rows["size"].tolist(), strict=True)), extra)
+    out = rows.assign(cut=rows["level"].map(lambda x: chosen.get(x, 0)), base=base, start=start)
+    out["got"] = out["size"] * (out["base"] + ((out["bucket"] - start) % BUCKETS < out["cut"]))
+    kept = {c: "first" for c in ("pattern", "source", "base", "start", "cut")} | {"got": "sum"}
+    return out.groupby("level", as_index=False).agg(kept)[["pattern", "source", "level", "base", "start", "cut", "got"]]
+
+
+def plan(sized: DataFrame, weigh=None, share: float = SHARE, repeats: int = REPEATS) -> tuple[DataFrame, DataFrame]:
+    """``(patterns, choice)`` for ``sized`` (source, mark, size, level, bucket).
 
-    ``docs`` has ``memberships`` (array of sources, sorted, distinct), ``size``, ``doc_id`` and
-    ``mark`` (a hash of the text).  ``units`` adds the size class and bucket; ``choice`` has, for
-    each pattern and class, ``base`` (times that all are taken), ``cut`` (buckets that are taken
-    once more) and the pattern's ``source_size`` and ``target``, summed over its sources.
+    ``patterns`` has the pattern (a JSON list) of each mark found in several sources; a mark that is not there has
+    the pattern of its one source.  ``choice`` has, for each pattern, source and size class, ``base`` (times that all rows are taken),
+    ``start`` and ``cut`` (buckets from ``start`` on that are taken once more), and the source's ``source_size`` and ``target``.
     """
-    order = F.xxhash64(F.lit(seed), "doc_id", "mark")
-    units = docs.withColumn("class", F.when(F.col("size") > 0, F.floor(F.log2(F.col("size").cast("double"))) + 1).otherwise(0).cast("int")).withColumn("bucket", F.pmod(order, F.lit(BUCKETS)).cast("int"))
-    cells = units.groupBy("memberships", "class", "bucket").agg(F.sum("size").alias("size"))
-    # Aggregates only: sources, classes of sizes and hash buckets bound the rows.
-    found: dict = defaultdict(list)
-    for r in cells.collect():
-        found[tuple(r["memberships"])].append((r["class"], r["bucket"], r["size"]))
-    capacity = {p: sum(w for _, _, w in c) for p, c in found.items()}
-    sources = sorted({s for p in capacity for s in p}, key=lambda s: (s is None, (s or "").encode("utf-32-be")))
+    spark = sized.sparkSession
+    name = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))  # null comes last
+    by_mark = sized.groupBy("mark").agg(F.collect_set(name).alias("names"), F.max("size").alias("size"))
+    patterns = written(by_mark.where("size(names) > 1").select("mark", "size", F.to_json(F.array_sort("names")).alias("pattern")), "patterns")
+    marked = salted_left_join(sized, patterns.select("mark", "pattern"), ["mark"], 128)
+    marked = marked.withColumn("pattern", F.coalesce("pattern", F.to_json(F.array(name))))
+    cells = written(marked.groupBy("pattern", "source", "level", "bucket").agg(F.sum("size").alias("size")), "cells")
+    # One row for each pattern and source; distinct texts of a single source count each once, too.
+    shared = patterns.groupBy("pattern").agg(F.sum("size").alias("words"))
+    own = by_mark.where("size(names) = 1").groupBy(F.to_json("names").alias("pattern")).agg(F.sum("size").alias("words"))
+    distinct = shared.union(own)
+    wide = cells.groupBy("pattern", "source").agg(F.sum("size").alias("size")).join(distinct, "pattern").limit(MOST_CELLS + 1).collect()
+    if len(wide) > MOST_CELLS:
+        raise ValueError(f"more than {MOST_CELLS} pairs of membership pattern and source")
+    members: dict = defaultdict(list)
+    for r in sorted(wide, key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-32-be"))):
+        members[r["pattern"]].append(r["source"])
+    key = {p: tuple(m) for p, m in members.items()}
+    # Two patterns of the same sources are one: names in JSON tell null from text.
+    size: dict = defaultdict(int)
+    for r in wide:
+        size[r["source"]] += r["size"]
+    sources = sorted(size, key=lambda s: (s is None, (s or "").encode("utf-32-be")))
     weights = {s: (weigh or (lambda i, _: WEIGHTS[i % len(WEIGHTS)]))(i, s) for i, s in enumerate(sources)}
-    # A document of several sources counts for each of them in equal parts.
-    sizes = {s: sum(n / len(p) for p, n in capacity.items() if s in p) for s in sources}
-    quotas = targets(sizes, weights, share, repeats) if sources else {}
-    flow = min_cost_flow(capacity, quotas, repeats)
-    rows = []
-    for p, c in sorted(found.items(), key=lambda x: repr(x[0])):
-        routed = sum(flow.get((p, s), 0.0) for s in p)
-        base = min(repeats, int(routed // capacity[p] + 1e-9)) if capacity[p] else 0
-        chosen = cuts(c, routed - base * capacity[p]) if base < repeats else {}
-        for k in {k for k, _, _ in c}:
-            rows.append((list(p), k, base, chosen.get(k, 0), float(sum(sizes[s] for s in p)), float(sum(quotas[s] for s in p))))
-    choice = docs.sparkSession.createDataFrame(rows, "memberships array<string>, class int, base int, cut int, source_size double, target double")
-    return units, choice
-
-
-def times(units: DataFrame, choice: DataFrame) -> DataFrame:
-    """``units`` with ``times``: how often each document is taken, 0 to the most."""
-    flat = lambda df: df.withColumn("_p", F.to_json("memberships", {"ignoreNullFields": "false"}))
-    joined = flat(units).join(flat(choice).drop("memberships"), ["_p", "class"]).drop("_p")
-    return joined.withColumn("times", (F.col("base") + (F.col("bucket") < F.col("cut")).cast("int")).cast("int"))
+    quotas = targets(size, weights, share, repeats) if sources else {}
+    flow = min_cost_flow({(key[r["pattern"]], r["source"]): r["size"] for r in wide}, {key[r["pattern"]]: r["words"] for r in wide}, quotas, repeats)
+
+    def cut(alone: bool, debt: dict) -> DataFrame:
+        rows = []
+        for r in wide:
+            if (len(members[r["pattern"]]) == 1) == alone:
+                routed = flow.get((key[r["pattern"]], r["source"]), 0.0) + debt.get(r["source"], 0.0)
+                routed = min(max(0.0, routed), float(repeats * r["size"]))
+                base = min(repeats, int(routed / r["size"] + 1e-9)) if r["size"] else 0
+                rows.append((r["pattern"], r["source"], base, float(routed - base * r["size"]) if base < repeats else 0.0))
+        # As many rows as were collected.
+        routed = spark.createDataFrame(rows, "pattern string, source string, base int, extra double")
+        joined = cells.alias("c").join(routed.alias("r"), (F.col("c.pattern") == F.col("r.pattern")) & F.col("c.source").eqNullSafe(F.col("r.source"))).select("c.*", "r.base", "r.extra")
+        return written(joined.groupBy("pattern", "source").applyInPandas(_cut_cell, _CHOICE), "choice")
+
+    # Cells of shared texts are cut first; what whole documents miss there, the source's other cell makes up for.
+    several = cut(False, {})
+    got = {r["source"]: r["got"] for r in several.groupBy("source").agg(F.sum("got").alias("got")).collect()}
+    wanted: dict = defaultdict(float)
+    for (p, s), words_ in flow.items():
+        if len(p) > 1:
+            wanted[s] += words_
+    choice = several.unionByName(cut(True, {s: wanted[s] - got.get(s, 0) for s in sources}))
+    totals = spark.createDataFrame([(s, int(size[s]), float(quotas[s])) for s in sources], "source string, source_size long, target double")
+    choice = choice.alias("c").join(totals.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source"))).select("c.*", "t.source_size", "t.target")
+    return patterns.select("mark", "pattern"), written(choice, "choice")
+
+
+_INNER = ("size", "mark", "source", "level", "bucket", "pattern", "base", "start", "cut", "source_size", "target", "cell")
+
+
+def _planned(docs: DataFrame, narrow: DataFrame) -> tuple[DataFrame, dict]:
+    """``docs`` with ``times`` and the columns of the plan, under names that ``docs`` has not; ``narrow`` has doc_id, text and source."""
+    same = {c: c for c in _INNER}
+    sized = written(units(narrow.select("doc_id", "text", "source"), same).select("source", "mark", "size", "level", "bucket"), "sizes")
+    patterns, choice = plan(sized)
+    inner = {c: free_name(docs.columns, f"mix_{c}") for c in (*_INNER, "times")}
+    own = units(docs, inner)
+    own = salted_left_join(own, patterns.toDF(inner["mark"], inner["pattern"]), [inner["mark"]], 128)
+    cell = lambda pattern, source, level: F.xxhash64(pattern, source.isNull(), source, level)
+    name = F.coalesce(F.concat(F.lit("s"), F.col(inner["source"])), F.lit("t"))
+    pattern = F.coalesce(F.col(inner["pattern"]), F.to_json(F.array(name)))
+    own = own.withColumn(inner["cell"], cell(pattern, F.col(inner["source"]), F.col(inner["level"])))
+    named = choice.select(cell(F.col("pattern"), F.col("source"), F.col("level")).alias(inner["cell"]), *[F.col(c).alias(inner[c]) for c in ("base", "start", "cut", "source_size", "target")])
+    own = salted_left_join(own, named, [inner["cell"]], 64)
+    return own.withColumn(inner["times"], (F.col(inner["base"]) + (F.pmod(F.col(inner["bucket"]) - F.col(inner["start"]), F.lit(BUCKETS)) < F.col(inner["cut"])).cast("int")).cast("int")), inner
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", words(F.col("text")).alias("size"), F.array("source").alias("memberships"), F.xxhash64("text").alias("mark"))
-    units, choice = plan(written(docs, "sizes"))
-    out = times(units, choice)
-    return out.select("doc_id", "size", F.round("source_size").cast("long").alias("source_size"), "target", (F.col("size") * F.col("times")).cast("long").alias("taken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out, i = _planned(docs, docs)
+    size = F.col(i["size"])
+    return out.select("doc_id", size.alias("size"), F.col(i["source_size"]).alias("source_size"), F.col(i["target"]).alias("target"), (size * F.col(i["times"])).cast("long").alias("taken"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -210,11 +304,7 @@ def mix(docs: DataFrame) -> DataFrame:
 
     Documents without words are taken once, since they count for no target.
     """
-    sized = docs.select("doc_id", words(F.col("text")).alias("size"), F.array("source").alias("memberships"), F.xxhash64("text").alias("mark"))
-    _, choice = plan(written(sized, "sizes"))
-    own = docs.withColumns({"memberships": F.array("source"), "mark": F.xxhash64("text"), "size": words(F.col("text"))})
-    order = F.xxhash64(F.lit(SEED), "doc_id", "mark")
-    units = own.withColumn("class", F.when(F.col("size") > 0, F.floor(F.log2(F.col("size").cast("double"))) + 1).otherwise(0).cast("int")).withColumn("bucket", F.pmod(order, F.lit(BUCKETS)).cast("int"))
-    taken = times(units, choice)
-    copies = F.when(F.col("size") == 0, 1).otherwise(F.col("times"))
-    return taken.withColumn("_copy", F.explode(F.expr("sequence(1, 2)"))).where(F.col("_copy") <= copies).select(*docs.columns)
+    out, i = _planned(docs, docs)
+    copies = F.when(F.col(i["size"]) == 0, 1).otherwise(F.col(i["times"]))
+    copy = free_name(out.columns, "mix_copy")
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.lit(REPEATS)))).where(F.col(copy) <= copies).select(*docs.columns)

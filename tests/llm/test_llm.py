@@ -464,12 +464,86 @@ def test_op10_targets_and_flow(spark, small):
 
 def test_op10_overlaps_and_odd_rows(spark):
     assert mixing.targets({"a": 10, "b": 100, None: 50}, {"a": 5, "b": 2, None: 1}) == {"a": 20, "b": 220 * 2 / 3, None: 220 / 3}
-    flow = mixing.min_cost_flow({("a",): 10, ("a", "b"): 10, ("b",): 5}, {"a": 15, "b": 12})
-    assert abs(sum(v for (_, s), v in flow.items() if s == "a") - 15) < 1e-6
-    assert abs(sum(v for (_, s), v in flow.items() if s == "b") - 12) < 1e-6
+    cells = {(("a",), "a"): 10, (("a", "b"), "a"): 10, (("a", "b"), "b"): 10, (("b",), "b"): 5}
+    flow = mixing.min_cost_flow(cells, {("a",): 10, ("a", "b"): 10, ("b",): 5}, {"a": 15, "b": 12})
+    into = {x: sum(v for (_, s), v in flow.items() if s == x) for x in "ab"}
+    assert abs(into["a"] - 15) < 1e-6 and abs(into["b"] - 12) < 1e-6
+    # 27 words of 25 distinct ones: two are used again, and no more.
+    uses = {p: sum(v for (q, _), v in flow.items() if q == p) for p in [("a",), ("a", "b"), ("b",)]}
+    assert abs(sum(max(0, uses[p] - n) for p, n in zip(uses, (10, 10, 5), strict=True)) - 2) < 1e-6
     out = mixing.mix(frame(spark, ODD))
     assert out.columns == frame(spark, []).columns and out.where("text = ''").count() == 1
     assert mixing.mix(frame(spark, [])).count() == 0
+    # Columns with inner names keep their values.
+    plain = frame(spark, ODD).drop("size")
+    names = [f"{p}{c}" for p in ("", "mix_") for c in ("size", "mark", "level", "bucket", "pattern", "base", "cut", "source_size", "target", "cell", "times", "copy")] + ["salt", "memberships", "class"]
+    wide = mixing.mix(plain.selectExpr("*", *[f"crc32(coalesce(text, '')) AS {c}" for c in names]))
+    assert all(len({r[c] for c in names}) == 1 and r.size == zlib.crc32((r.text or "").encode()) for r in wide.collect())
+    key = lambda r: (r.doc_id is None, r.doc_id, r.text or "")
+    assert sorted(map(key, wide.collect())) == sorted(map(key, mixing.mix(plain).collect()))
+
+
+def brute_flow_cost(cells, distinct, quotas, repeats):
+    """Most words and their least cost, by unit augmentation over all residual paths (Bellman-Ford)."""
+    edges = []
+
+    def add(a, b, room, cost):
+        edges.append([a, b, room, cost, len(edges) + 1])
+        edges.append([b, a, 0, -cost, len(edges) - 1])
+
+    for (p, s), n in cells.items():
+        add(p, ("s", s), repeats * n, 0)
+    for p, n in distinct.items():
+        for use in range(12):
+            add("start", p, n, min(use, 2 * repeats))
+    for s, q in quotas.items():
+        add(("s", s), "stop", q, 0)
+    words = cost = 0
+    while True:
+        far, via = {"start": 0}, {}
+        for _ in range(40):
+            for i, (a, b, room, c, _) in enumerate(edges):
+                if room > 0 and a in far and far[a] + c < far.get(b, 10**9):
+                    far[b], via[b] = far[a] + c, i
+        if "stop" not in far:
+            return words, cost
+        at = "stop"
+        while at != "start":
+            e = edges[via[at]]
+            e[2] -= 1
+            edges[e[4]][2] += 1
+            at = e[0]
+        words, cost = words + 1, cost + far["stop"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_op10_flow_against_brute_force(seed):
+    rng = random.Random(seed)
+    sources = "abcd"[: rng.randrange(2, 5)]
+    distinct, cells = {}, {}
+    for _ in range(rng.randrange(2, 7)):
+        p = tuple(sorted(rng.sample(sources, rng.randrange(1, len(sources) + 1))))
+        distinct[p] = rng.randrange(1, 8)
+        for s in p:
+            cells[p, s] = distinct[p] * rng.randrange(1, 3)
+    quotas = {s: rng.randrange(1, 25) for s in sources}
+    flow = mixing.min_cost_flow(cells, distinct, quotas)
+    used = {p: sum(v for (q, _), v in flow.items() if q == p) for p in distinct}
+    cost = sum(sum(max(0.0, min(used[p] - k * n, n if k < 4 else 1e9)) * k for k in range(5)) for p, n in distinct.items())
+    want = brute_flow_cost(cells, distinct, quotas, 2)
+    assert abs(sum(flow.values()) - want[0]) < 1e-6 and abs(cost - want[1]) < 1e-6
+    assert all(v <= 2 * cells[k] + 1e-6 for k, v in flow.items())
+
+
+def test_op10_shared_texts_are_routed(spark):
+    """A text of two sources is one pattern: its words are not repeated while others are unused."""
+    rows = [(i, f"own a {i} " * 20, "a") for i in range(40)] + [(100 + i, f"both {i} " * 30, s) for i in range(40) for s in "ab"] + [(300 + i, f"own b {i} " * 20, "b") for i in range(40)]
+    docs = frame(spark, rows).select("doc_id", "text", "source")
+    out, names = mixing._planned(docs, docs)
+    got = out.select(F.col(names["pattern"]).alias("p"), F.col(names["size"]).alias("n"), F.col(names["times"]).alias("t"), F.col(names["target"]).alias("g"), "source").collect()
+    assert {r.p for r in got if r.p} == {'["sa","sb"]'}
+    for s in "ab":
+        assert abs(sum(r.n * r.t for r in got if r.source == s) - next(r.g for r in got if r.source == s)) < 200
 
 
 def test_pipeline_stages(spark, small):
