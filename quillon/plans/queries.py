@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -376,7 +377,7 @@ def _sql(name: str, tables: str, text: str, oracle: str | None = None) -> None:
 
 
 _sql("semi", "orders customer", "SELECT c_custkey FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 200000)")
-_sql("anti", "orders customer", "SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)")
+_sql("anti", "orders customer", "SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 200000)")
 _sql("rollup", "lineitem", "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS qty, count(*) AS n FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)")
 _sql("cube", "lineitem", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)")
 _sql("filter_agg", "lineitem", "SELECT round(sum(l_extendedprice * l_discount), 2) AS revenue, count(*) AS n FROM lineitem WHERE l_quantity < 24 AND l_discount BETWEEN 0.05 AND 0.07")
@@ -385,7 +386,29 @@ _sql("revenue_by_region", "region nation customer orders", "SELECT r_name, n_nam
 _sql("tumble", "events", "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 _sql("top_k", "orders", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
 _sql("rank_per_key", "orders", "SELECT o_orderkey, o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rn FROM orders")
-_sql("except_keys", "orders customer", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey AS k FROM orders")
+_sql("except_keys", "orders customer", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey AS k FROM orders WHERE o_totalprice > 150000")
+_sql("except_all_rows", "lineitem", "SELECT l_suppkey AS k FROM lineitem EXCEPT ALL SELECT l_suppkey AS k FROM lineitem WHERE l_quantity < 25")
+_sql("intersect_all_rows", "lineitem", "SELECT l_suppkey AS k FROM lineitem WHERE l_quantity < 10 INTERSECT ALL SELECT l_suppkey AS k FROM lineitem WHERE l_quantity > 40")
+_sql("union_keys", "orders customer", "SELECT c_custkey AS k FROM customer UNION SELECT o_orderkey AS k FROM orders")
+_sql("union_all_rows", "supplier customer", "SELECT c_nationkey AS k, c_acctbal AS v FROM customer UNION ALL SELECT s_nationkey AS k, s_acctbal AS v FROM supplier")
+_sql("left_join", "orders customer", "SELECT c.c_custkey, o.o_orderkey FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_totalprice > 200000")
+_sql("right_join", "orders customer", "SELECT c.c_custkey, o.o_orderkey FROM orders o RIGHT JOIN customer c ON o.o_custkey = c.c_custkey AND o.o_totalprice < 5000")
+_sql("full_join", "supplier customer", "SELECT c.c_custkey, s.s_suppkey FROM customer c FULL JOIN supplier s ON s.s_suppkey = c.c_custkey AND s.s_acctbal > 0")
+_sql("cross_join", "region nation", "SELECT r_name, n_name FROM region CROSS JOIN nation")
+_sql("theta_join", "nation region", "SELECT r_name, n_name FROM region JOIN nation ON n_regionkey < r_regionkey")
+_sql("grouping_sets", "lineitem", "SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS qty FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), (l_linestatus), ())")
+_sql(
+    "map_counts",
+    "events",
+    "SELECT user_id, CAST(m['purchase'] AS BIGINT) AS purchases, CAST(size(map_keys(m)) AS BIGINT) AS kinds FROM (SELECT user_id, map_from_entries(collect_list(struct(event_type, n))) AS m FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY user_id)",
+    "SELECT user_id, nullif(count(*) FILTER (event_type = 'purchase'), 0) AS purchases, count(DISTINCT event_type) AS kinds FROM events GROUP BY user_id",
+)
+_sql(
+    "approx_distinct",
+    "lineitem",
+    "SELECT l_returnflag, abs(approx_count_distinct(l_orderkey, 0.01) - count(DISTINCT l_orderkey)) <= 0.05 * count(DISTINCT l_orderkey) AS near FROM lineitem GROUP BY l_returnflag",
+    "SELECT DISTINCT l_returnflag, true AS near FROM lineitem",
+)
 _sql("intersect_keys", "orders customer", "SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey AS k FROM orders")
 
 
@@ -414,6 +437,71 @@ def interval_join(spark, d):
     return E.interval_join(_table(spark, d, "part"), spans, "p_retailprice", "lo", "hi", 100).select("p_partkey", "lo")
 
 
+@query("SELECT n_name, n_name[1] || '-' || length(n_name) AS tag FROM nation")
+def vector_udf(spark, d):
+    """A function of whole Arrow columns."""
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("string")
+    def tag(name: pd.Series) -> pd.Series:
+        return name.str[:1] + "-" + name.str.len().astype(str)
+
+    return _table(spark, d, "nation").select("n_name", tag("n_name").alias("tag"))
+
+
+@query("SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part")
+def word_table_function(spark, d):
+    """A table function of Python, joined laterally."""
+
+    @F.udtf(returnType="word: string")
+    class Words:
+        def eval(self, text: str):
+            for w in (text or "").split(" "):
+                yield (w,)
+
+    return _table(spark, d, "part").lateralJoin(Words(F.col("p_name").outer())).select("p_partkey", "word")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 2 = 0")
+def arc_append(spark, d):
+    """Two jobs append to one path."""
+    archive.register(spark)
+    path, rows = shared_path(spark, "arc-append"), _table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    for part in (rows, rows.where("o_orderkey % 2 = 0")):
+        part.write.format("archive").mode("append").save(path)
+    return spark.read.format("archive").load(path)
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey > 5")
+def arc_overwrite(spark, d):
+    """A job that replaces the files of another, by fewer tasks."""
+    archive.register(spark)
+    path, rows = shared_path(spark, "arc-over"), _table(spark, d, "nation").select("n_nationkey", "n_name")
+    rows.repartition(4).write.format("archive").mode("append").save(path)
+    rows.where("n_nationkey > 5").coalesce(1).write.format("archive").mode("overwrite").save(path)
+    return spark.read.format("archive").load(path)
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 45 OR l_quantity < 3")
+def arc_nan_prune(spark, d):
+    """Quantities below three become NaN, which is above all numbers; groups with NaN are not pruned away."""
+    archive.register(spark)
+    path = shared_path(spark, "arc-nan")
+    x = F.when(F.col("l_quantity") < 3, F.lit(float("nan"))).otherwise(F.col("l_quantity").cast("double"))
+    _table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", x.alias("x")).write.format("archive").option("group", "512").mode("append").save(path)
+    return spark.read.format("archive").load(path).where("x > 45").select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT o_orderkey, CAST(CAST(round(o_totalprice, 2) AS DECIMAL(14, 2)) AS DOUBLE) AS price, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS day, o_totalprice > 100000 AS large FROM orders")
+def arc_types(spark, d):
+    """Decimals, dates and truth values."""
+    archive.register(spark)
+    path = shared_path(spark, "arc-types")
+    rows = _table(spark, d, "orders").select("o_orderkey", F.round("o_totalprice", 2).cast("decimal(14,2)").alias("price"), F.col("o_orderdate").cast("date").alias("day"), (F.col("o_totalprice") > 100000).alias("large"))
+    rows.write.format("archive").mode("append").save(path)
+    return spark.read.format("archive").load(path).select("o_orderkey", F.col("price").cast("double").alias("price"), F.col("day").cast("string").alias("day"), "large")
+
+
 @query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_tumble(spark, d):
     return streams.tumbling(spark, d)

@@ -24,6 +24,8 @@ from . import codecs, encode, wire
 
 FORMAT = "archive"
 GROUP = 8192
+#: Bytes of blocks that one Spark partition reads, about.
+SPLIT_BYTES = 64 << 20
 
 
 def file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -84,7 +86,21 @@ class GroupPartition(InputPartition):
     groups: list
 
 
-_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "timestamp_ntz": pa.timestamp("us")}
+_ARROW = {
+    "bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8(), "double": pa.float64(), "float": pa.float32(),
+    "boolean": pa.bool_(), "date": pa.date32(), "string": pa.string(), "timestamp": pa.timestamp("us", "UTC"), "timestamp_ntz": pa.timestamp("us"),
+}
+#: Types whose blocks have least and greatest values: the numbers of the format's integer and decimal kinds.
+_KINDS = {"bigint": 1, "int": 1, "smallint": 1, "tinyint": 1, "double": 2}
+
+
+def arrow_type(kind: str) -> pa.DataType:
+    """The Arrow type of a column, by its Spark name; others are refused, before anything is written."""
+    if m := re.fullmatch(r"decimal\((\d+),(\d+)\)", kind):
+        return pa.decimal128(int(m[1]), int(m[2]))
+    if kind not in _ARROW:
+        raise wire.ArchiveError(f"no cells for the type {kind}")
+    return _ARROW[kind]
 
 
 def to_cells(array: pa.Array) -> list[bytes]:
@@ -102,7 +118,7 @@ def from_cells(cells: list[bytes], kind: str) -> pa.Array:
         if pc.any(pc.match_substring(text, "\\")).as_py():
             return pa.array([None if v is None else re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], v) for v in text.to_pylist()], pa.string())
         return text
-    return pc.cast(text, _ARROW[kind])
+    return pc.cast(text, arrow_type(kind))
 
 
 class ArchiveReader(DataSourceReader):
@@ -123,11 +139,14 @@ class ArchiveReader(DataSourceReader):
                 continue
             low, high = low_high
             values = f.value if isinstance(f, In) else [f.value]
+            if any(v != v for v in values):
+                continue  # NaN is above all numbers, and equal to itself
             try:
                 if isinstance(f, (EqualTo, In)):
                     ok = any(v is not None and low <= v <= high for v in values)
                 elif isinstance(f, GreaterThan):
-                    ok = high > f.value
+                    # An infinite bound may stand for NaN.
+                    ok = high > f.value or high == float("inf")
                 elif isinstance(f, GreaterThanOrEqual):
                     ok = high >= f.value
                 elif isinstance(f, LessThan):
@@ -141,7 +160,8 @@ class ArchiveReader(DataSourceReader):
         return True
 
     def partitions(self) -> list[InputPartition]:
-        out = []
+        # Groups of a file share a split up to so many bytes of wanted blocks.
+        out, held, most = [], 0, int(self.options.get("splitbytes", self.options.get("splitBytes", SPLIT_BYTES)))
         prune = self.options.get("prune", "true") == "true"
         for path in files(self.options["path"]):
             r = Reader(path)
@@ -154,7 +174,13 @@ class ArchiveReader(DataSourceReader):
             for group in groups.blocks:
                 if prune and not self._may_match({n: b[2] for n, b in zip(names, group, strict=True) if b[2]}):
                     continue
-                out.append(GroupPartition(path, [[(blocks.at + group[i][0], group[i][1]) for i in wanted]]))
+                spans = [(blocks.at + group[i][0], group[i][1]) for i in wanted]
+                size = sum(n for _, n in spans)
+                if not out or out[-1].path != path or held + size > most:
+                    out.append(GroupPartition(path, []))
+                    held = 0
+                out[-1].groups.append(spans)
+                held += size
         return out or [GroupPartition("", [])]
 
     def read(self, partition: GroupPartition) -> Iterator[pa.RecordBatch]:
@@ -175,47 +201,64 @@ class Written(WriterCommitMessage):
 
 
 class ArchiveWriter(DataSourceArrowWriter):
-    """One verified archive for each task; files of tasks that are not committed are removed."""
+    """One verified archive for each task.
+
+    The files of a job have its id in their names.  Its commit removes those of attempts that lost and, on
+    overwrite, the files that were there before the job; other jobs' files are never touched.  A job
+    without rows leaves an archive without rows where there would be none, so the path has a schema.
+    """
 
     def __init__(self, schema: StructType, options: dict, overwrite: bool) -> None:
-        self.schema_, self.options = schema, options
+        self.schema_, self.options, self.job = schema, options, uuid.uuid4().hex
+        for kind in self._kinds():
+            arrow_type(kind)
+        self.before = [i.base_name for i in self._listed()] if overwrite else []
+
+    def _kinds(self) -> list[str]:
+        return [f.dataType.simpleString() for f in self.schema_.fields]
+
+    def _listed(self) -> list:
+        fs, at = file_system(self.options["path"])
+        if fs.get_file_info(at).type != pyarrow.fs.FileType.Directory:
+            return []
+        return [i for i in fs.get_file_info(pyarrow.fs.FileSelector(at)) if i.base_name.endswith((".arc", ".arc.tmp"))]
+
+    def _store(self, part: int, columns: list[list[bytes]]) -> str:
+        kinds = self._kinds()
+        body = encode.table(columns, [_KINDS.get(k, 0) for k in kinds], list(zip(self.schema_.names, kinds, strict=True)), int(self.options.get("group", GROUP)))
+        fs, at = file_system(self.options["path"])
+        fs.create_dir(at, recursive=True)
+        name = f"{at}/part-{part:05d}-{self.job}-{uuid.uuid4().hex}.arc"
+        with fs.open_output_stream(name + ".tmp") as f:
+            f.write(body)
+        fs.move(name + ".tmp", name)
+        return name
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         from pyspark import TaskContext
 
-        kinds = [f.dataType.simpleString() for f in self.schema_.fields]
-        marks = [1 if k in ("bigint", "int") else 2 if k == "double" else 0 for k in kinds]
-        columns: list[list[bytes]] = [[] for _ in kinds]
+        columns: list[list[bytes]] = [[] for _ in self.schema_.fields]
         for batch in iterator:
             for col, array in zip(columns, batch.columns, strict=True):
                 col += to_cells(array)
         if not columns or not columns[0]:
             return Written("", 0)
-        body = encode.table(columns, marks, list(zip(self.schema_.names, kinds, strict=True)), int(self.options.get("group", GROUP)))
-        fs, at = file_system(self.options["path"])
-        fs.create_dir(at, recursive=True)
-        name = f"{at}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.arc"
-        with fs.open_output_stream(name + ".tmp") as f:
-            f.write(body)
-        fs.move(name + ".tmp", name)
-        return Written(name, len(columns[0]))
+        return Written(self._store(TaskContext.get().partitionId(), columns), len(columns[0]))
 
     def commit(self, messages: list) -> None:
-        """Files of attempts that lost are not in the messages."""
-        fs, at = file_system(self.options["path"])
+        fs, _ = file_system(self.options["path"])
         kept = {m.path.rsplit("/", 1)[1] for m in messages if m and m.path}
-        parts = {k.split("-")[1] for k in kept}
-        if fs.get_file_info(at).type != pyarrow.fs.FileType.Directory:
-            fs.create_dir(at, recursive=True)
-        for i in fs.get_file_info(pyarrow.fs.FileSelector(at)):
-            if i.base_name.endswith((".arc", ".arc.tmp")) and i.base_name not in kept and i.base_name.split("-")[1] in parts:
+        if not kept and not set(i.base_name for i in self._listed() if i.base_name.endswith(".arc")) - set(self.before):
+            kept = {self._store(0, [[] for _ in self.schema_.fields]).rsplit("/", 1)[1]}
+        for i in self._listed():
+            if i.base_name in self.before or f"-{self.job}-" in i.base_name and i.base_name not in kept:
                 fs.delete_file(i.path)
 
     def abort(self, messages: list) -> None:
-        for m in messages:
-            if m and m.path:
-                fs, at = file_system(m.path)
-                fs.delete_file(at)
+        fs, _ = file_system(self.options["path"])
+        for i in self._listed():
+            if f"-{self.job}-" in i.base_name:
+                fs.delete_file(i.path)
 
 
 @dataclass

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Iterable
 
@@ -125,12 +126,13 @@ def columnar(header: bytes | None, rows: list[list[bytes] | bytes], quoted: list
 
 
 def _statistics(kind: int, values: list[bytes]) -> bytes:
-    """Least and most of a block; nulls and texts do not count."""
+    """Least and most of a block; nulls and texts do not count.  NaN is above all numbers: infinite."""
     if kind == 1:
         known = [int(v) for v in values if _INT.match(v)] or [0]
         return put_sv(min(known)) + put_sv(max(known))
     if kind == 2:
         known_ = [float(v) for v in values if v and v != b"\\N"] or [0.0]
+        known_ = [math.inf if math.isnan(v) else v for v in known_]
         return np.array([min(known_), max(known_)], "<f8").tobytes()
     return b""
 
