@@ -15,7 +15,8 @@ Documents with equal sets form one node.  Components come first, from links that
 within a key the first node is compared with all others, for each node one pair before the
 rest; after the components of these links are known, only keys that still join different
 components give more pairs, so no link between nodes of different components is lost.  The nodes of
-such a key are compared by size and counts in blocks, and only pairs that may be links become rows.
+such a key are compared by size and counts in blocks, and only pairs that may be links become rows: in two
+turns the nearest pair of each node in one of its keys, then all pairs of all keys that still lie apart.
 Every link lies inside a component, so then the links of each node are counted there, over all pairs
 of the component's nodes.  Components are cut into blocks of nodes by hash; a pair of blocks holds its
 sets as incidence matrices, whose product is the overlaps, and gives one row for each node.
@@ -270,12 +271,14 @@ def _bounded(percent: int):
     return run
 
 
-def late_pairs(percent: int, left: list[tuple], right: list[tuple]) -> np.ndarray:
+def late_pairs(percent: int, left: list[tuple], right: list[tuple], nearest: bool = False) -> np.ndarray:
     """Pairs (a, b, n_a, n_b) of a key that may be links between different components.
 
     Rows are (node, n, component, main component of the key, counts).  Of each pair one is outside the
-    main component; pairs are tested in steps of bounded size and only the possible ones are returned.
+    main component; pairs are tested in steps of bounded size and only the possible ones are returned, with
+    ``nearest`` only one for each left node: that whose counts are the least apart.
     """
+
     def columns(rows: list[tuple]) -> tuple:
         node, n, component, main = (np.array([r[i] for r in rows], np.int64) for i in range(4))
         return node, n, component, component != main, np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(-1, COUNTS)
@@ -292,6 +295,12 @@ def late_pairs(percent: int, left: list[tuple], right: list[tuple]) -> np.ndarra
             p, q = i[at : at + (1 << 16)] + low, j[at : at + (1 << 16)]
             keep = differ_little(counts_a[p], counts_b[q], n_a[p] + n_b[q], percent)
             p, q = p[keep], q[keep]
+            if nearest and len(p):
+                apart = np.abs(counts_a[p].astype(np.int16) - counts_b[q].astype(np.int16)).sum(axis=1) / (n_a[p] + n_b[q])
+                order = np.lexsort((node_b[q], apart, p))
+                p, q = p[order], q[order]
+                first = np.concatenate([[True], p[1:] != p[:-1]])
+                p, q = p[first], q[first]
             turn = node_a[p] > node_b[q]
             pairs = np.stack([node_a[p], node_b[q], n_a[p], n_b[q]], axis=1)
             pairs[turn] = pairs[turn][:, [1, 0, 3, 2]]
@@ -299,13 +308,13 @@ def late_pairs(percent: int, left: list[tuple], right: list[tuple]) -> np.ndarra
     return np.unique(np.concatenate(found), axis=0)
 
 
-def _late(percent: int):
+def _late(percent: int, nearest: bool):
     """Rows (key, i, j, own, node, n, component, main, counts), sorted by the first three, to possible pairs."""
 
     def pairs(rows: list[tuple]) -> pa.RecordBatch:
         i, j = rows[0][1], rows[0][2]
         left, right = ([r[4:] for r in rows if r[3] == at] for at in (i, j))
-        got = late_pairs(percent, left, right) if left and right else np.zeros((0, 4), np.int64)
+        got = late_pairs(percent, left, right, nearest) if left and right else np.zeros((0, 4), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(got[:, c]) for c in range(4)], names=["a", "b", "n_a", "n_b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,24 +469,38 @@ def ngram_rows(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", te
     open_ = parted.select(F.col("component_a").alias("component")).union(parted.select(F.col("component_b").alias("component"))).distinct()
     grouped = nodes.select("node").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     keys = texts_of(grouped.join(open_, "component").select("node")).mapInArrow(_tidied(_key_rows(k, percent)), "key long, node long, n long")
-    known = keys.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    known = written(known, "keys")
-    count = known.groupBy("key", "component").agg(F.count("*").alias("m"))
-    mixed = count.groupBy("key").agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.sum("m").alias("m"), F.count("*").alias("kinds")).where("kinds > 1")
-    # Pairs of a key are tested in blocks of its nodes; only those that pass become rows.
-    blocks = F.ceil(F.col("m") / BLOCK_NODES).cast("int")
-    mixed = known.join(mixed.select("key", "main", blocks.alias("blocks")), "key").join(nodes.select("node", "counts"), "node")
-    mixed = mixed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    mixed = mixed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "component", "main", "counts")
-    mixed = mixed.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    more = written(mixed.mapInArrow(_tidied(_late(percent)), "a long, b long, n_a long, n_b long"), "late")
+    keys = written(keys, "keys")
     seen = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    late = written(more.distinct().join(seen, ["a", "b"], "left_anti"), "late")
-    drop_written(known)
-    if late.limit(1).count():
-        late = written(verified(late, sets_of(late), percent), "links")
-        links = links.union(late)
-        label = components(links)
+
+    def late_round(turn: int | None) -> DataFrame:
+        """Possible links between components from common keys; with a turn, the nearest from one key of each node."""
+        known = keys.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+        def mixed(rows: DataFrame) -> DataFrame:
+            count = rows.groupBy("key", "component").agg(F.count("*").alias("m"))
+            return count.groupBy("key").agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.sum("m").alias("m"), F.count("*").alias("kinds")).where("kinds > 1")
+
+        if turn is not None:
+            known = known.join(mixed(known).select("key"), "key").groupBy("node", "n", "component").agg(F.min_by("key", F.xxhash64(F.lit(turn), "key")).alias("key"))
+        known = written(known, "known")
+        # Pairs of a key are tested in blocks of its nodes; only those that pass become rows.
+        blocks = F.ceil(F.col("m") / BLOCK_NODES).cast("int")
+        rows = known.join(mixed(known).select("key", "main", blocks.alias("blocks")), "key").join(nodes.select("node", "counts"), "node")
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "component", "main", "counts")
+        rows = rows.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+        found = written(rows.mapInArrow(_tidied(_late(percent, turn is not None)), "a long, b long, n_a long, n_b long"), "late")
+        drop_written(known)
+        return written(found.distinct().join(seen, ["a", "b"], "left_anti"), "late")
+
+    # First the nearest pairs, which join most of what hangs together; then all that still lie apart.
+    for turn in (0, 1, None):
+        late = late_round(turn)
+        if late.limit(1).count():
+            late = written(verified(late, sets_of(late), percent), "links")
+            links = links.union(late)
+            label = components(links)
+    drop_written(keys)
 
     named = nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     whole = named.groupBy("component").agg(F.min("least_id").alias("component_id"), F.count("*").alias("m"), F.sum("n").alias("grams"), F.sum("copies").alias("all_copies"))
