@@ -2,27 +2,31 @@
 
 Texts are tokenised by a public tokenizer and end in an end token.  What fills whole windows of
 a document is cut off first; the rest of each document goes into a pool.  The pool is dealt into
-shards of bounded size, by the leading term of each rest, so that rests about the same thing
-meet.  Each shard has a BM25 inverted index over token ids, with document frequencies and mean
+shards of bounded size, by the leading term of each rest (that of the greatest weight), so that rests
+about the same thing meet.  Each shard has a BM25 inverted index over token ids, with document frequencies and mean
 length of the whole table.  A seed fetches its best unused neighbours from the index; they fill
 its window greedily, and what does not fit is cut and stays in the index.  So only the last window
 of a shard is padded, and none whose length is a power of two.
 
 A null or empty text has the end token alone.  Repeated rows are packed each for itself; a null
 doc_id is kept.  Extra columns are ignored; an empty table gives an empty result.
+Rests are dealt by a hash of their leading term; a term that leads many is dealt to several places.
 """
 
 from __future__ import annotations
 
+import itertools
+import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, estimated_bytes, slices, table, written
+from .common import estimated_bytes, slices, table, tidy, written
 
 TOKENIZER = "word_bpe_49k.json"
 VOCABULARY = 49_408
@@ -30,20 +34,38 @@ WINDOW = 2048
 END = 1
 #: Rests in one shard at most.
 SHARD = 1024
-#: Terms of a seed that are looked up.
-QUERY_TERMS = 10
+#: Rests of one leading term that are dealt to one place, about.
+LEAD_RESTS = 8 * SHARD
 K1, B = 1.2, 0.75
 
 
+#: A word of letters, perhaps with other signs before and behind it.  The tokenizer splits letters from
+#: other signs, so these are up to three parts.  An apostrophe before letters is not among them, since
+#: it may belong to a contraction.  The letters are those whose lower case is one letter.
+_SHAPE = r"^(?P<before>[!-&(-/:-@\[-`{-~]*)(?P<letters>[a-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{17f}]+)(?P<behind>[!-/:-@\[-`{-~]*)$"
+
+
+def _bytes(column: pa.Array) -> list[bytes]:
+    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
+
+
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places starts[0], starts[0] + 1, ... of each of many runs, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
 class TokenIds(dict):
-    """Word (bytes without ASCII white space) to its ids as little-endian uint16.
+    """Parts of words (bytes) to their ids as little-endian uint16.
 
     The tokenizer splits at white space and treats every word for itself, so the ids of a text
-    are those of its words.  It splits letters from other signs too, so a word of ASCII letters
-    and one closing stop or comma is looked up in two parts.  Emptied when it grows too large.
+    are those of its words.  Parts are tokenised many at a time, with spaces between them: each
+    ends in the one token that has the mark of a word's end.  Emptied when it grows too large (the
+    limit keeps it at some 80 MB) and at the end of each task.
     """
 
-    LIMIT = 800_000
+    LIMIT = 400_000
+    JOINED = 2_000
 
     def __init__(self, name: str) -> None:
         import public_tokenizers
@@ -51,42 +73,72 @@ class TokenIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-
-    def _encode(self, words: list[bytes]) -> None:
-        for w, e in zip(words, self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in words], add_special_tokens=False), strict=True):
-            self[w] = np.array(e.ids, "<u2").tobytes()
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + 2 * len(new) > self.LIMIT:
+        self.closes = np.zeros(1 << 16, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.closes[i] = token.endswith("</w>")
+
+    def _encode(self, words: list[bytes]) -> Iterator[bytes]:
+        for e in self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in words], add_special_tokens=False):
+            yield np.array(e.ids, "<u2").tobytes()
+
+    def _encode_parts(self, parts: list[bytes]) -> Iterator[bytes]:
+        for low in range(0, len(parts), self.JOINED):
+            some = parts[low : low + self.JOINED]
+            raw = next(self._encode([b" ".join(some)]))
+            ends = np.flatnonzero(self.closes[np.frombuffer(raw, "<u2")]) + 1
+            if len(ends) == len(some) and 2 * ends[-1] == len(raw):
+                yield from (raw[a:b] for a, b in itertools.pairwise([0, *(2 * ends).tolist()]))
+            else:
+                yield from self._encode(some)
+
+    def learn(self, parts: list[bytes], whole: set[bytes]) -> None:
+        """Add parts; those in ``whole`` are tokenised one by one."""
+        new = [w for w in parts if w not in self]
+        if len(self) + len(new) > self.LIMIT:
             self.clear()
-            new = list(words)
-        closed = [w for w in new if w[-1:] in b".," and w[:-1].isalpha()]
-        parts = {w[:-1] for w in closed} | {b".", b","}
-        self._encode([w for w in {*new, *parts} - set(closed) if w not in self])
-        for w in closed:
-            self[w] = self[w[:-1]] + self[w[-1:]]
+            new = parts
+        some, other = [w for w in new if w and w not in whole], [w for w in new if w in whole]
+        self.update(zip(some, self._encode_parts(some), strict=True))
+        self.update(zip(other, self._encode(other), strict=True))
+        self[b""] = b""
+
+    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words, one word after the other, and the number of each."""
+        found = pc.extract_regex(words, _SHAPE)
+        plain = pc.and_(pc.is_valid(found), pc.invert(pc.match_substring(words, "<|")))
+        named = [pc.if_else(plain, pc.struct_field(found, i), x) for i, x in enumerate(("", words, ""))]
+        parts = pa.concat_arrays(named).dictionary_encode()
+        names = _bytes(parts.dictionary)
+        self.learn(names, set(_bytes(words.filter(pc.invert(plain)))))
+        ids = [self[x] for x in names]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        at = parts.indices.to_numpy().reshape(3, -1).T
+        flat = np.frombuffer(b"".join(ids), "<u2")[ragged((np.cumsum(size) - size)[at.ravel()], size[at.ravel()])]
+        return flat, size[at].sum(axis=1)
 
 
 _known: dict[str, TokenIds] = {}
 
 
 def tokenizer(name: str = TOKENIZER) -> TokenIds:
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if name not in _known:
         _known[name] = TokenIds(name)
     return _known[name]
 
 
-def ids_of(texts: list[bytes | None], name: str = TOKENIZER) -> list[bytes]:
-    """Token ids (little-endian uint16) of each text, end token included."""
-    known, end = tokenizer(name), np.array([END], "<u2").tobytes()
+def ids_of(texts: pa.Array, name: str = TOKENIZER) -> list[np.ndarray]:
+    """Token ids (uint16) of each text of an Arrow string column, end token included."""
+    known = tokenizer(name)
+    texts = pc.fill_null(texts, "")
     # The tokenizer lower-cases as well; its special tokens alone are matched before that.
-    split = [(t if b"<|" in t else t.lower()).split() for t in (t or b"" for t in texts)]
-    known.learn(set().union(*split))
-    return [b"".join(map(known.__getitem__, words)) + end for words in split]
+    words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+    coded = words.flatten().dictionary_encode()
+    ids, size = known.of_words(coded.dictionary)
+    at = coded.indices.to_numpy()
+    flat = ids[ragged((np.cumsum(size) - size)[at], size[at])]
+    ends = np.concatenate([[0], np.cumsum(size[at])])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+    return [np.append(flat[a:b], np.uint16(END)) for a, b in itertools.pairwise(ends.tolist())]
 
 
 def crc_of(ids: np.ndarray) -> int:
@@ -100,14 +152,13 @@ _PIECE = pa.schema([(c.split()[0], pa.int64()) for c in _PIECE_SQL.split(", ")])
 def _cut(name: str):
     """Whole windows as finished pieces; the rest with its ids."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 36
-        for batch in slices(batches, 1024):
+        for batch in slices(batches, 2048):
             rows, rests = [], []
-            for doc, raw in zip(batch.column(0).to_pylist(), ids_of(as_bytes(batch.column(1)), name), strict=True):
-                ids = np.frombuffer(raw, "<u2")
+            for doc, ids in zip(batch.column(0).to_pylist(), ids_of(batch.column(1), name), strict=True):
                 whole = len(ids) // WINDOW * WINDOW
                 for start in range(0, whole, WINDOW):
                     rows.append((doc, start, WINDOW, crc_of(ids[start : start + WINDOW]), len(ids), number, 0))
@@ -115,11 +166,11 @@ def _cut(name: str):
                     number += 1
                 if whole < len(ids):
                     rows.append((doc, whole, len(ids) - whole, None, len(ids), None, None))
-                    rests.append(raw[2 * whole :])
+                    rests.append(ids[whole:].tobytes())
             columns = list(zip(*rows, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(rests, pa.binary())], names=[*_PIECE.names, "rest"])
 
-    return run
+    return lambda batches: tidy(cut(batches), tokenizer(name))
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,31 +195,37 @@ class Bm25:
         for t, n in count.items():
             if t >= 0:
                 df[t] = n
+        self.df = df
         self.idf = np.log1p((self.docs - df + 0.5) / (df + 0.5)).astype(np.float32)
         self.mean = max(1.0, tokens / max(1, self.docs))
 
     def weights(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct tokens of a rest and their BM25 weights."""
         terms, tf = np.unique(ids, return_counts=True)
+        terms = terms.astype(np.int64)
         return terms, self.idf[terms] * (tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / self.mean)))
 
 
 def _route(stats: Bm25):
-    """Add the leading term of each rest."""
+    """Add the leading term of each rest, and a salt if many rests have that term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lead = []
-            for raw in batch.column(4).to_pylist():
+            lead, salt = [], []
+            for doc, start, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 terms, weight = stats.weights(np.frombuffer(raw, "<u2"))
                 lead.append(int(terms[np.argmax(weight)]))
-            yield pa.RecordBatch.from_arrays([pa.array(lead, pa.int32()), *batch.columns], names=["lead", *batch.schema.names])
+                salt.append(zlib.crc32(repr((doc, start)).encode() + raw) % int(1 + stats.df[lead[-1]] // LEAD_RESTS))
+            yield pa.RecordBatch.from_arrays([pa.array(lead, pa.int32()), pa.array(salt, pa.int32()), *batch.columns], names=["lead", "salt", *batch.schema.names])
 
     return run
 
 
 def pack_shard(rests: list[np.ndarray], stats: Bm25) -> list[list[tuple[int, int, int]]]:
-    """Windows of (rest, first token, tokens).  Each token is in exactly one."""
+    """Windows of (rest, first token, tokens).  Each token is in exactly one.
+
+    A seed's neighbours are scored by all its distinct terms.
+    """
     n = len(rests)
     found = [stats.weights(r) for r in rests]
     term = np.concatenate([t for t, _ in found]) if n else np.zeros(0, int)
@@ -196,12 +253,9 @@ def pack_shard(rests: list[np.ndarray], stats: Bm25) -> list[list[tuple[int, int
 
         take(seed)
         if space:
-            terms, own = found[seed]
-            best = terms[np.argsort(-own, kind="stable")[:QUERY_TERMS]]
-            score = np.zeros(n)
-            for t in best:
-                at = slice(first[t], first[t + 1])
-                score[doc[at]] += weight[at]
+            terms, _ = found[seed]
+            at = ragged(first[terms], first[terms + 1] - first[terms])
+            score = np.bincount(doc[at], weight[at], n)
             near = np.flatnonzero((score > 0) & unused)
             for i in near[np.argsort(-score[near], kind="stable")]:
                 if not space:
@@ -256,8 +310,9 @@ def pack(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
     counted = rests.select("rest").mapInArrow(_frequencies, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     stats = Bm25({r["token"]: r["n"] for r in counted.collect()})
     parts = max(1, min(1 << 16, estimated_bytes(rests) // (8 << 20)))
-    routed = rests.mapInArrow(_route(stats), "lead int, doc_id long, start long, length long, doc_tokens long, rest binary")
-    dealt = routed.repartitionByRange(parts, "lead", F.xxhash64("doc_id", "start", "length")).sortWithinPartitions("lead", F.xxhash64("doc_id", "start", "length"), "doc_id")
+    routed = rests.mapInArrow(_route(stats), "lead int, salt int, doc_id long, start long, length long, doc_tokens long, rest binary")
+    order = ["lead", "salt", F.xxhash64("doc_id", "start", "length", "rest"), "doc_id"]
+    dealt = routed.repartition(parts, "lead", "salt").sortWithinPartitions(*order)
     packed = dealt.select("doc_id", "start", "length", "doc_tokens", "rest").mapInArrow(_pack(stats), _PIECE_SQL)
     return cut.where("rest is null").select(*_PIECE.names).unionByName(packed)
 
