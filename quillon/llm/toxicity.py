@@ -5,9 +5,14 @@ words and word stems; the document's is the noisy-or of its sentences, 1 - prod(
 document labels are known: the model is trained by the likelihood of those, which
 assigns the blame to sentences.  Afterwards sentence scores locate the offending sentences.
 
-Training uses at most ``SAMPLE`` labelled rows (those least by a hash of the text) of at most
-``SAMPLE_CHARS`` characters each; that bound is a parameter.  Every document is scored over its
-whole text.  Sentences end at ``.``, ``!``, ``?`` and line breaks.  Null and empty texts score the
+Noisy-or alone adds up the faint probabilities of ordinary sentences, so that a clean text would be
+rejected once it is long enough.  So training also learns a floor, the logit that ``1 - TAIL`` of the
+sentences of clean training documents stay below (between probabilities 0.05 and 0.5).  Sentences above
+the floor enter the noisy-or each for itself; of those below it, the greatest alone.
+
+Training uses at most ``SAMPLE`` labelled rows, in the order of a hash of their ids, as far as their
+texts fit ``SAMPLE_BYTES`` together; both bounds are parameters, and a text is left out only if it does
+not fit what is left.  Every document is scored over its whole text.  Sentences end at ``.``, ``!``, ``?`` and line breaks.  Null and empty texts score the
 probability of a bag without sentences, 0.  Labels other than 0 and 1, null labels and null
 texts are not learnt from.  A document with contradicting labels is learnt from as toxic if any
 says so.  Without a positive label every score is 0.  Ties, repeated rows and extra columns
@@ -25,10 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices, table
+from .common import as_bytes, slices, table, tidy
 
 SAMPLE = 8_000
-SAMPLE_CHARS = 20_000
+#: Bytes of their texts, together.
+SAMPLE_BYTES = 20 << 20
+#: Share of the sentences of clean documents that may lie above the floor.
+TAIL = 1e-4
 FEATURES = 4_096
 #: Least association with the label, in standard errors, of a feature that is used.
 ASSOCIATION = 4.0
@@ -51,7 +59,7 @@ def _names(word: bytes) -> list[str]:
 class _Weights(dict):
     """Word to its summed weight; filled on first use and emptied when it grows too large."""
 
-    LIMIT = 1_000_000
+    LIMIT = 200_000
 
     def __init__(self, known: dict[str, float]) -> None:
         super().__init__()
@@ -65,10 +73,15 @@ class _Weights(dict):
 
 
 class Model:
-    """Weights of features and the bias of a sentence."""
+    """Weights of features, the bias of a sentence, and the logit from which sentences count each for itself."""
 
-    def __init__(self, weights: dict[str, float], bias: float) -> None:
-        self.weights, self.bias = weights, bias
+    def __init__(self, weights: dict[str, float], bias: float, floor: float = 0.0) -> None:
+        self.weights, self.bias, self.floor = weights, bias, floor
+
+    def score(self, logits: np.ndarray) -> float:
+        """A document's score from the logits of all its sentences."""
+        high = logits >= self.floor
+        return noisy_or(np.append(logits[high], logits[~high].max())) if (~high).any() else noisy_or(logits)
 
     def sentence_logits(self, sentences: list[bytes], cache: _Weights | None = None) -> np.ndarray:
         cache = _Weights(self.weights) if cache is None else cache
@@ -138,46 +151,68 @@ def train(texts: list[bytes], labels: list[int], features: int = FEATURES, steps
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
         w += rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Model({n: float(v) for n, v in zip(chosen, w[:-1], strict=True) if abs(v) > 1e-3}, float(w[-1]))
+    weights = {n: float(v) for n, v in zip(chosen, w[:-1], strict=True) if abs(v) > 1e-3}
+    clean = (w[-1] + np.bincount(row, w[col], m))[y[owner] == 0] if m else np.zeros(0)
+    # Logits of the probabilities 0.05 and 0.5.
+    floor = float(np.clip(np.quantile(clean, 1 - TAIL), np.log(0.05 / 0.95), 0.0)) if len(clean) else 0.0
+    return Model(weights, float(w[-1]), floor)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Train on a bounded sample of the labelled rows that are not held out."""
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    # The sample has at most `sample` rows, which bounds the broadcast.
-    chosen = known.orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(sample)
-    texts = docs.select("doc_id", "text").where(F.length("text") <= sample_chars)
-    rows = texts.join(F.broadcast(chosen), "doc_id").select(F.xxhash64("text").alias("h"), F.col("text"), "toxic").dropDuplicates(["h", "toxic"])
-    rows = rows.orderBy("h", "toxic").limit(sample).select("text", "toxic").toArrow()
+    order = F.xxhash64("doc_id", F.lit("sample")).alias("o")
+    # The sample has at most `sample` rows, which bounds what is broadcast and collected.
+    chosen = known.select("doc_id", "toxic", order).orderBy("o", "doc_id").limit(sample)
+    found = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    sized = found.select("doc_id", "o", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size")).orderBy("o", "doc_id", "h").limit(sample)
+    left, fits = sample_bytes, {}
+    for r in sized.collect():
+        if r["size"] <= left and r["h"] not in fits:
+            left -= r["size"]
+            fits[r["h"]] = r["doc_id"]
+    if not fits:
+        return train([], [])
+    wanted = docs.sparkSession.createDataFrame(list(fits.items()), "h long, doc_id long")
+    rows = found.withColumn("h", F.xxhash64("text")).join(F.broadcast(wanted), ["doc_id", "h"]).dropDuplicates(["h"]).orderBy("h").select("text", "toxic").toArrow()
     return train(as_bytes(rows.column(0)), [int(x) for x in rows.column(1).to_pylist()])
 
 
-def _score(weights: dict[str, float], bias: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cache = Model(weights, bias), _Weights(weights)
-        for batch in slices(batches, 1024):
-            score = [noisy_or(model.sentence_logits(sentences(t), cache)) for t in as_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], names=["key", "score"])
-
-    return run
+_SCORED = "doc_id long, score double, n_offending long, worst_sentence string"
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
-    """``(key, score)`` of every row, over the whole text."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_score(model.weights, model.bias), "key long, score double")
+    """``(doc_id, score, n_offending, worst_sentence)`` of every row, over the whole text.
+
+    ``n_offending`` counts the sentences of a probability of 0.5 or more; ``worst_sentence`` is the first
+    of the greatest probability, null where there is no offending one.
+    """
+    known, bias, floor = model.weights, model.bias, model.floor
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, cache = Model(known, bias, floor), _Weights(known)
+        for batch in slices(batches, 1024):
+            out = []
+            for key, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
+                parts = sentences(text)
+                logits = own.sentence_logits(parts, cache)
+                many = int((logits >= 0).sum())
+                out.append((key, own.score(logits), many, parts[int(np.argmax(logits))].strip().decode(errors="replace") if many else None))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.float64(), pa.int64(), pa.string()), strict=True)], names=[c.split()[0] for c in _SCORED.split(", ")])
+
+    return docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(lambda b: tidy(run(b)), _SCORED)
 
 
 def locate(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """``(doc_id, sentence, at, score)`` of the sentences that score at least ``least``."""
-    weights, bias = model.weights, model.bias
+    known, bias = model.weights, model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, cache = Model(weights, bias), _Weights(weights)
+        own, cache = Model(known, bias), _Weights(known)
         for batch in slices(batches):
             out = []
             for key, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
@@ -187,26 +222,25 @@ def locate(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
             columns = list(zip(*out, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.string(), pa.int64(), pa.float64()), strict=True)], names=["doc_id", "sentence", "at", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, sentence string, at long, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lambda b: tidy(run(b)), "doc_id long, sentence string, at long, score double")
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score is below 0.5, all columns kept."""
     model = fit(docs, labels)
-    weights, bias = model.weights, model.bias
+    known, bias, floor = model.weights, model.bias, model.floor
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, cache = Model(weights, bias), _Weights(weights)
+        own, cache = Model(known, bias, floor), _Weights(known)
         for batch in slices(batches, 1024):
-            yield batch.filter(pa.array([noisy_or(own.sentence_logits(sentences(t), cache)) < 0.5 for t in as_bytes(batch.column(place))], pa.bool_()))
+            yield batch.filter(pa.array([own.score(own.sentence_logits(sentences(t), cache)) < 0.5 for t in as_bytes(batch.column(place))], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda b: tidy(run(b)), docs.schema)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document, learnt from labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
-    out = scored.withColumnRenamed("key", "doc_id")
-    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_offending", "worst_sentence")
