@@ -1,19 +1,18 @@
 """Cross-site boilerplate lines.
 
-A line is boilerplate if it occurs on at least ``min_sites`` distinct sites.  Lines are hashed;
-a first aggregation drops those of a single site.  For the rest, HyperLogLog sketches of the
-sites merge by aggregation, per line hash.  Lines whose estimate lies near the threshold get an
-exact distinct count, the others are decided by their estimate.  Then boilerplate is removed.
+A line is boilerplate if it occurs on at least ``min_sites`` distinct sites and in more than one
+distinct text.  Lines are hashed.  A first aggregation leaves one row per line and site; it combines on
+the map side, so a line that stands in a third of all rows sends as many rows as it has sites.  Lines of
+a single site are dropped.  For the rest, HyperLogLog sketches of the sites merge by aggregation, per
+line hash.  Lines whose estimate lies near the threshold get an exact distinct count, the others are
+decided by their estimate.  Then boilerplate is cut from every document, at any share of it.
 
 Rules: lines are the parts between newlines, compared without leading and trailing spaces; blank
-lines are never boilerplate.  A document of which the boilerplate would take more than
-``max_removed`` of its non-blank characters is left whole: it is a copy of other documents, which
-near-duplicate removal treats, and not a text with boilerplate around it.  That share also lets off
-short texts with a long shared line; ``max_removed=None``, as in the pipeline, cuts every
-boilerplate line at any share, and there only lines that no other text holds than the exact copies
-(by hash) of one text are no boilerplate.  A null source is a
-site of its own.  A null text stays null and has no lines.  Repeated rows are treated alike,
-extra columns are carried along, an empty table stays empty.
+lines are never boilerplate.  Lines that no other text holds than the exact copies (by hash) of one text
+are no boilerplate: those are copies of a document, which near-duplicate removal treats.  A null source
+is a site of its own.  A null text stays null and has no lines, an empty one has one blank line.
+Repeated rows are treated alike, an empty table stays empty.  Extra columns are carried along whatever
+their names; where one has the name of an added column, the added one gets underscores behind its name.
 """
 
 from __future__ import annotations
@@ -21,10 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import drop_written, free_name, salted_left_join, table, written
 
 MIN_SITES = 5
-MAX_REMOVED = 0.5
 #: Sketches of 2^10 registers: a relative error of about 3 % once they leave their exact small modes.
 LG_REGISTERS = 10
 #: Estimates within this share of the threshold are counted exactly.
@@ -37,51 +35,45 @@ def _bare(line: Column) -> Column:
     return F.btrim(line, F.lit(_TRIM))
 
 
-def boilerplate_lines(docs: DataFrame, site_col: str = "source", text_col: str = "text", min_sites: int = MIN_SITES, near: float = NEAR, spare_copies: bool = False) -> DataFrame:
-    """``(line)``: the hashes of lines found on at least ``min_sites`` distinct sites.
-
-    With ``spare_copies`` lines of one distinct text alone are left out.
-    """
+def boilerplate_lines(docs: DataFrame, site_col: str = "source", text_col: str = "text", min_sites: int = MIN_SITES, near: float = NEAR) -> DataFrame:
+    """``(line)``: the hashes of lines found on at least ``min_sites`` distinct sites and in several texts."""
     sites = F.xxhash64(F.col(site_col).isNull(), F.col(site_col))
     lines = docs.where(F.col(text_col).isNotNull()).select(sites.alias("site"), F.xxhash64(text_col).alias("text"), F.explode(F.split(F.col(text_col), "\n")).alias("raw"))
     lines = lines.select("site", "text", _bare(F.col("raw")).alias("raw")).where("raw <> ''").select("site", "text", F.xxhash64("raw").alias("line"))
-    several = lines.groupBy("line").agg(F.min("site").alias("low"), F.max("site").alias("high"), F.min("text").alias("low_text"), F.max("text").alias("high_text"))
-    if spare_copies:
-        several = several.where("low_text <> high_text")
+    # One row per line and site, written once: read by the first pass, the sketches and the exact counts.
+    spread = written(lines.groupBy("line", "site").agg(F.min("text").alias("low"), F.max("text").alias("high")), "spread")
+    several = spread.groupBy("line").agg(F.min("site").alias("one"), F.max("site").alias("other"), F.min("low").alias("low"), F.max("high").alias("high"))
+    several = several.where("low <> high" if min_sites <= 1 else "low <> high and one <> other").select("line")
     if min_sites <= 1:
-        return several.select("line")
-    several, lines = several.where("low <> high").select("line"), lines.select("site", "line")
-    # One row per line and site: written once, read by the sketches and by the exact counts.
-    spread = written(lines.join(several, "line").distinct(), "spread")
-    sketched = spread.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_REGISTERS))).alias("estimate"))
+        return several
+    shared = written(spread.select("line", "site").join(several, "line"), "shared")
+    drop_written(spread)
+    sketched = shared.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_REGISTERS))).alias("estimate"))
     sketched = written(sketched.where(F.col("estimate") >= (1 - near) * min_sites), "sketched")
     sure = sketched.where(F.col("estimate") > (1 + near) * min_sites).select("line")
     unsure = sketched.where(F.col("estimate") <= (1 + near) * min_sites).select("line")
-    exact = spread.join(unsure, "line").groupBy("line").agg(F.count_distinct("site").alias("sites")).where(F.col("sites") >= min_sites).select("line")
+    exact = shared.join(unsure, "line").groupBy("line").agg(F.count_distinct("site").alias("sites")).where(F.col("sites") >= min_sites).select("line")
     return sure.union(exact)
 
 
-def remove_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text", min_sites: int = MIN_SITES, max_removed: float | None = MAX_REMOVED) -> DataFrame:
-    """``docs`` with boilerplate lines cut from the text, and ``n_lines`` and ``n_removed``."""
-    bad = boilerplate_lines(docs, site_col, text_col, min_sites, spare_copies=max_removed is None)
-    keyed = docs.withColumn("_text", F.xxhash64(text_col))
+def remove_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text", min_sites: int = MIN_SITES) -> DataFrame:
+    """``docs`` with boilerplate lines cut from the text, and ``n_lines`` and ``n_removed`` added."""
+    bad = written(boilerplate_lines(docs, site_col, text_col, min_sites).withColumn("bad", F.lit(True)), "boilerplate")
     # Equal texts lose equal lines, so positions are found once per distinct text.
-    lines = docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("_text"), F.posexplode(F.split(F.col(text_col), "\n")).alias("at", "raw"))
-    lines = lines.select("_text", "at", _bare(F.col("raw")).alias("raw")).where("raw <> ''").select("_text", "at", F.xxhash64("raw").alias("line"), F.length("raw").alias("size"))
-    hit = lines.join(bad, "line").groupBy("_text", "at").agg(F.first("size").alias("size"))
-    hit = hit.groupBy("_text").agg(F.sort_array(F.collect_list("at")).alias("_at"), F.sum("size").alias("_lost"))
-    joined = keyed.join(hit, "_text", "left")
+    lines = docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("text"), F.posexplode(F.split(F.col(text_col), "\n")).alias("at", "raw"))
+    lines = lines.select("text", "at", _bare(F.col("raw")).alias("raw")).where("raw <> ''").select("text", "at", F.xxhash64("raw").alias("line"))
+    hit = salted_left_join(lines, bad, ["line"], 16).where("bad").select("text", "at").distinct()
+    hit = hit.groupBy("text").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    key, places = free_name(docs.columns, "text_key"), free_name(docs.columns, "places")
+    joined = docs.withColumn(key, F.xxhash64(text_col)).join(hit.toDF(key, places), key, "left").drop(key)
     parts = F.split(F.col(text_col), "\n")
-    total = F.length(F.regexp_replace(F.col(text_col), r"(?m)^[ \t\r\x0B\x0C]+|[ \t\r\x0B\x0C]+$|\n", ""))
-    cut = F.col("_at").isNotNull()
-    if max_removed is not None:
-        cut = cut & (F.col("_lost") <= F.lit(max_removed) * total)
-    out = joined.withColumn("_cut", F.coalesce(cut, F.lit(False)))
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_at"), i)), "\n")
-    out = out.withColumn("n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("long"))
-    out = out.withColumn("n_removed", F.when(F.col("_cut"), F.size("_at")).otherwise(0).cast("long"))
-    out = out.withColumn(text_col, F.when(F.col("_cut"), kept).otherwise(F.col(text_col)))
-    return out.drop("_text", "_at", "_lost", "_cut")
+    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col(places), i)), "\n")
+    added = {
+        free_name(docs.columns, "n_lines"): F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("long"),
+        free_name(docs.columns, "n_removed"): F.coalesce(F.size(places), F.lit(0)).cast("long"),
+        text_col: F.when(F.col(places).isNotNull(), kept).otherwise(F.col(text_col)),
+    }
+    return joined.withColumns(added).drop(places)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,17 +85,14 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = rf"""
 WITH l AS (
-  SELECT d.rid, d.doc_id, d.source, u.pos, trim(u.raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line, u.raw
+  SELECT d.rid, d.doc_id, d.source, d.text, u.pos, trim(u.raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line, u.raw
   FROM (SELECT *, row_number() OVER () AS rid FROM documents) d,
        LATERAL (SELECT unnest(string_split(d.text, chr(10))) AS raw, generate_subscripts(string_split(d.text, chr(10)), 1) AS pos) u),
-b AS (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT coalesce('s' || source, 'n')) >= {MIN_SITES}),
+b AS (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT coalesce('s' || source, 'n')) >= {MIN_SITES} AND min(text) <> max(text)),
 m AS (SELECT l.*, (b.line IS NOT NULL) AS bad FROM l LEFT JOIN b USING (line)),
 s AS (
-  SELECT rid, any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (bad) AS n_bad,
-         coalesce(sum(length(line)) FILTER (bad), 0) <= {MAX_REMOVED} * sum(length(line)) AS cut,
-         string_agg(raw, chr(10) ORDER BY pos) AS whole, coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT bad), '') AS rest
+  SELECT rid, any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (bad) AS n_removed,
+         coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT bad), '') AS rest
   FROM m GROUP BY rid)
-SELECT doc_id, n_lines, CASE WHEN cut THEN n_bad ELSE 0 END AS n_removed,
-       CAST(length(CASE WHEN cut THEN rest ELSE whole END) AS BIGINT) AS kept_chars,
-       sha256(CASE WHEN cut THEN rest ELSE whole END) AS kept_sha256
+SELECT doc_id, n_lines, n_removed, CAST(length(rest) AS BIGINT) AS kept_chars, sha256(rest) AS kept_sha256
 FROM s"""
