@@ -470,6 +470,11 @@ def ngram_rows(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", te
     grouped = nodes.select("node").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     keys = texts_of(grouped.join(open_, "component").select("node")).mapInArrow(_tidied(_key_rows(k, percent)), "key long, node long, n long")
     keys = written(keys, "keys")
+    # The pair of a key of two nodes is one of the first round; only keys of more have other pairs.
+    several = written(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 2").select("key"), "several")
+    shared = written(keys.join(small_or_plain(several, 8), "key"), "shared")
+    drop_written(keys)
+    keys = shared
     seen = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     def late_round(turn: int | None) -> DataFrame:
@@ -498,8 +503,9 @@ def ngram_rows(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", te
         late = late_round(turn)
         if late.limit(1).count():
             late = written(verified(late, sets_of(late), percent), "links")
-            links = links.union(late)
-            label = components(links)
+            if late.limit(1).count():
+                links = links.union(late)
+                label = components(links)
     drop_written(keys)
 
     named = nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))

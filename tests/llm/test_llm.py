@@ -409,10 +409,30 @@ def test_op8_overlaps_in_column_blocks():
     assert ngram_join.overlaps(sets[:12], sets[12:], 7).tolist() == want
 
 
-def test_components_of_a_path(spark):
+@pytest.mark.parametrize("one_task", [0, 1_000_000])
+def test_components_of_a_path(spark, one_task):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
-    got = {r.node: r.component for r in C.components(edges).collect()}
+    got = {r.node: r.component for r in C.components(edges, one_task=one_task).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100}
+    assert C.components(edges.where("a < 0"), one_task=one_task).count() == 0
+
+
+def test_least_nodes_match_union_find():
+    rng = np.random.default_rng(3)
+    for n, m in ((1, 0), (5, 3), (100, 60), (100, 300), (2000, 1500)):
+        u, v = rng.integers(-n, n, (2, m))
+        root = {x: x for x in np.concatenate([u, v]).tolist()}
+
+        def top(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in zip(u.tolist(), v.tolist(), strict=True):
+            a, b = top(a), top(b)
+            root[max(a, b)] = min(a, b)
+        nodes, least = C.least_nodes(u, v)
+        assert nodes.tolist() == sorted(root) and least.tolist() == [top(x) for x in sorted(root)]
 
 
 def test_op9_round_trip(spark):
