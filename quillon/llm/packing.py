@@ -46,7 +46,8 @@ _SHAPE = r"^(?P<before>[!-&(-/:-@\[-`{-~]*)(?P<letters>[a-z\x{c0}-\x{d6}\x{d8}-\
 
 
 def _bytes(column: pa.Array) -> list[bytes]:
-    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
+    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
+    return column.cast(kind).to_numpy(zero_copy_only=False).tolist()
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -55,17 +56,23 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
 
 
+def _byte_signs() -> dict[int, str]:
+    """The signs by which the tokenizer's vocabulary writes the bytes from 128 on, by byte."""
+    hidden = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+    return {b: chr(256 + i) for i, b in enumerate(hidden) if b >= 128}
+
+
 class TokenIds(dict):
     """Parts of words (bytes) to their ids as little-endian uint16.
 
     The tokenizer splits at white space and treats every word for itself, so the ids of a text
-    are those of its words.  Parts are tokenised many at a time, with spaces between them: each
-    ends in the one token that has the mark of a word's end.  Emptied when it grows too large (the
-    limit keeps it at some 80 MB) and at the end of each task.
+    are those of its words.  A part of letters or of other signs alone is never split before its pairs are
+    merged, so the tokenizer's model is asked for it directly.  Emptied when it grows too large (the
+    limit keeps it at some 20 MB) and at the end of each task.
     """
 
-    LIMIT = 400_000
-    JOINED = 2_000
+    LIMIT = 100_000
+    SIGNS = _byte_signs()
 
     def __init__(self, name: str) -> None:
         import public_tokenizers
@@ -73,48 +80,43 @@ class TokenIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.closes = np.zeros(1 << 16, bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.closes[i] = token.endswith("</w>")
+        self.model = self.tokenizer.model
+        self.code = [i.to_bytes(2, "little") for i in range(VOCABULARY)]
 
     def _encode(self, words: list[bytes]) -> Iterator[bytes]:
         for e in self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in words], add_special_tokens=False):
             yield np.array(e.ids, "<u2").tobytes()
 
     def _encode_parts(self, parts: list[bytes]) -> Iterator[bytes]:
-        for low in range(0, len(parts), self.JOINED):
-            some = parts[low : low + self.JOINED]
-            raw = next(self._encode([b" ".join(some)]))
-            ends = np.flatnonzero(self.closes[np.frombuffer(raw, "<u2")]) + 1
-            if len(ends) == len(some) and 2 * ends[-1] == len(raw):
-                yield from (raw[a:b] for a, b in itertools.pairwise([0, *(2 * ends).tolist()]))
-            else:
-                yield from self._encode(some)
-
-    def learn(self, parts: list[bytes], whole: set[bytes]) -> None:
-        """Add parts; those in ``whole`` are tokenised one by one."""
-        new = [w for w in parts if w not in self]
+        code, model = self.code, self.model
+        for text in b" ".join(parts).decode().lower().encode().decode("latin-1").translate(self.SIGNS).split(" "):
+            yield b"".join([code[t.id] for t in model.tokenize(text)])
+
+    def of_parts(self, parts: list[bytes], whole: set[bytes]) -> list[bytes]:
+        """The ids of each part; those in ``whole`` are given to the tokenizer as texts."""
+        ids = list(map(self.get, parts))
+        new = [i for i, x in enumerate(ids) if x is None]
+        kinds: tuple[list[int], ...] = ([], [], [])
+        for i in new:
+            kinds[0 if parts[i] in whole else 1 if parts[i].isascii() else 2].append(i)
+        for some, encode in zip(kinds, (self._encode, self._encode_parts, self._encode_parts), strict=True):
+            if some:
+                for i, x in zip(some, encode([parts[i] for i in some]), strict=True):
+                    ids[i] = x
         if len(self) + len(new) > self.LIMIT:
             self.clear()
-            new = parts
-        some, other = [w for w in new if w and w not in whole], [w for w in new if w in whole]
-        self.update(zip(some, self._encode_parts(some), strict=True))
-        self.update(zip(other, self._encode(other), strict=True))
-        self[b""] = b""
-
-    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of distinct words, one word after the other, and the number of each."""
+        self.update((parts[i], ids[i]) for i in new[: self.LIMIT])
+        return ids
+
+    def of_words(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, as bytes."""
         found = pc.extract_regex(words, _SHAPE)
         plain = pc.and_(pc.is_valid(found), pc.invert(pc.match_substring(words, "<|")))
         named = [pc.if_else(plain, pc.struct_field(found, i), x) for i, x in enumerate(("", words, ""))]
         parts = pa.concat_arrays(named).dictionary_encode()
-        names = _bytes(parts.dictionary)
-        self.learn(names, set(_bytes(words.filter(pc.invert(plain)))))
-        ids = [self[x] for x in names]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
-        at = parts.indices.to_numpy().reshape(3, -1).T
-        flat = np.frombuffer(b"".join(ids), "<u2")[ragged((np.cumsum(size) - size)[at.ravel()], size[at.ravel()])]
-        return flat, size[at].sum(axis=1)
+        ids = self.of_parts(_bytes(parts.dictionary), set(_bytes(words.filter(pc.invert(plain)))))
+        ids = pa.array(ids, pa.large_binary()).take(parts.indices)
+        return pc.binary_join_element_wise(*(ids.slice(i * len(words), len(words)) for i in range(3)), pa.scalar(b"", pa.large_binary()))
 
 
 _known: dict[str, TokenIds] = {}
@@ -134,10 +136,10 @@ def ids_of(texts: pa.Array, name: str = TOKENIZER) -> list[np.ndarray]:
     # The tokenizer lower-cases as well; its special tokens alone are matched before that.
     words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
     coded = words.flatten().dictionary_encode()
-    ids, size = known.of_words(coded.dictionary)
-    at = coded.indices.to_numpy()
-    flat = ids[ragged((np.cumsum(size) - size)[at], size[at])]
-    ends = np.concatenate([[0], np.cumsum(size[at])])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+    ids = known.of_words(coded.dictionary).take(coded.indices)
+    places = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1] // 2 if len(ids) else np.zeros(1, np.int64)
+    flat = np.frombuffer(ids.buffers()[2] or b"", "<u2")
+    ends = places[words.offsets.to_numpy() - words.offsets[0].as_py()]
     return [np.append(flat[a:b], np.uint16(END)) for a, b in itertools.pairwise(ends.tolist())]
 
 
@@ -150,14 +152,16 @@ _PIECE = pa.schema([(c.split()[0], pa.int64()) for c in _PIECE_SQL.split(", ")])
 
 
 def _cut(name: str):
-    """Whole windows as finished pieces; the rest with its ids."""
+    """Whole windows as finished pieces; the rest with its ids.  Behind them, for each task, the number of
+    rests that hold each token; token -1 has the number of rests, -2 their tokens."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 36
+        count, docs, tokens = np.zeros(VOCABULARY, np.int64), 0, 0
         for batch in slices(batches, 2048):
-            rows, rests = [], []
+            rows, rests, held = [], [], [np.zeros(0, np.uint16)]
             for doc, ids in zip(batch.column(0).to_pylist(), ids_of(batch.column(1), name), strict=True):
                 whole = len(ids) // WINDOW * WINDOW
                 for start in range(0, whole, WINDOW):
@@ -167,25 +171,20 @@ def _cut(name: str):
                 if whole < len(ids):
                     rows.append((doc, whole, len(ids) - whole, None, len(ids), None, None))
                     rests.append(ids[whole:].tobytes())
+                    held.append(np.unique(ids[whole:]))
+                    tokens += len(ids) - whole
+            count += np.bincount(np.concatenate(held), minlength=VOCABULARY)
+            docs += len(held) - 1
             columns = list(zip(*rows, strict=True)) or [()] * 7
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(rests, pa.binary())], names=[*_PIECE.names, "rest"])
+            nulls = pa.nulls(len(rows), pa.int64())
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(rests, pa.binary()), nulls, nulls], names=[*_PIECE.names, "rest", "token", "n"])
+        seen = np.flatnonzero(count)
+        nulls = [pa.nulls(len(seen) + 2, t) for t in [*_PIECE.types, pa.binary()]]
+        yield pa.RecordBatch.from_arrays([*nulls, pa.array(np.append(seen, [-1, -2])), pa.array(np.append(count[seen], [docs, tokens]))], names=[*_PIECE.names, "rest", "token", "n"])
 
     return lambda batches: tidy(cut(batches), tokenizer(name))
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Document frequency of each token, of the batches of one task; token -1 has the number of
-    rests, -2 their tokens."""
-    count, docs, tokens = np.zeros(VOCABULARY, np.int64), 0, 0
-    for batch in batches:
-        for raw in batch.column(0).to_pylist():
-            ids = np.frombuffer(raw, "<u2")
-            count[np.unique(ids)] += 1
-            docs, tokens = docs + 1, tokens + len(ids)
-    seen = np.flatnonzero(count)
-    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([seen, [-1, -2]])), pa.array(np.concatenate([count[seen], [docs, tokens]]))], names=["token", "n"])
-
-
 class Bm25:
     """Statistics of the whole table: one weight for each token of the vocabulary."""
 
@@ -233,14 +232,19 @@ def pack_shard(rests: list[np.ndarray], stats: Bm25) -> list[list[tuple[int, int
     weight = np.concatenate([w for _, w in found]) if n else np.zeros(0)
     order = np.argsort(term, kind="stable")
     doc, weight = doc[order], weight[order]
-    first = np.searchsorted(term[order], np.arange(VOCABULARY + 1))
+    first = np.append(0, np.cumsum(np.bincount(term, minlength=VOCABULARY)))
     done, size, unused = np.zeros(n, np.int64), np.array([len(r) for r in rests], np.int64), np.ones(n, bool)
-    windows, seed = [], 0
+    windows, seed, indexed = [], 0, n
     while True:
         while seed < n and not unused[seed]:
             seed += 1
         if seed == n:
             return windows
+        left = int(unused.sum())
+        if left <= 0.8 * indexed:
+            # Used rests leave the index.
+            live, indexed = unused[doc], left
+            doc, weight, first = doc[live], weight[live], np.append(0, np.cumsum(live))[first]
         window, space = [], WINDOW
 
         def take(i: int) -> None:
@@ -304,17 +308,17 @@ def _pack(stats: Bm25):
 def pack(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
     """Pieces of every document and their places in sequences of at most 2048 tokens."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cut = written(texts.mapInArrow(_cut(name), _PIECE_SQL + ", rest binary"), "cut")
+    cut = written(texts.mapInArrow(_cut(name), _PIECE_SQL + ", rest binary, token long, n long"), "cut")
     rests = cut.where("rest is not null").select("doc_id", "start", "length", "doc_tokens", "rest")
     # At most one row for each token of the vocabulary.
-    counted = rests.select("rest").mapInArrow(_frequencies, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = cut.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
     stats = Bm25({r["token"]: r["n"] for r in counted.collect()})
     parts = max(1, min(1 << 16, estimated_bytes(rests) // (8 << 20)))
     routed = rests.mapInArrow(_route(stats), "lead int, salt int, doc_id long, start long, length long, doc_tokens long, rest binary")
     order = ["lead", "salt", F.xxhash64("doc_id", "start", "length", "rest"), "doc_id"]
     dealt = routed.repartition(parts, "lead", "salt").sortWithinPartitions(*order)
     packed = dealt.select("doc_id", "start", "length", "doc_tokens", "rest").mapInArrow(_pack(stats), _PIECE_SQL)
-    return cut.where("rest is null").select(*_PIECE.names).unionByName(packed)
+    return cut.where("rest is null and token is null").select(*_PIECE.names).unionByName(packed)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
