@@ -8,15 +8,21 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Words are runs of characters other than space and U+0009..U+000D.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 _MASK = (1 << 64) - 1
 
+#: Bytes, about, of a batch that goes to a Python worker, see :func:`small_batches`.
+BATCH_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -56,6 +62,30 @@ def drop_written(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session sends rows to Python workers in batches of some ``BATCH_BYTES``, not of 10,000 rows.
+
+    A batch of texts has several copies outside the heap, in the executor and in the worker, and neither
+    gives all of that memory back.  Lower limits stay.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of the driver's.
+
+    It goes to the JVM by Arrow.  Plain rows would go through Python workers of another kind, which every executor
+    would keep beside those of the operators.
+    """
+    kind = StructType.fromDDL(schema)
+    fields = to_arrow_schema(kind)
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields), kind)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan; for file scans the size of the files."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
@@ -98,8 +128,6 @@ def tidy(batches: Iterator, *caches: dict) -> Iterator:
     """
     import ctypes
 
-    import pyarrow as pa
-
     try:
         yield from batches
     finally:
@@ -164,8 +192,6 @@ def shingles(text: bytes | None, k: int) -> np.ndarray:
 
 def as_bytes(column) -> list:
     """An Arrow string column as Python bytes, without decoding."""
-    import pyarrow as pa
-
     kind = column.type
     return column.cast(pa.large_binary() if pa.types.is_large_string(kind) else pa.binary()).to_pylist()
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, free_name, salted_left_join, table, written
+from .common import WORD_PATTERN, free_name, local_table, salted_left_join, table, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -254,7 +254,7 @@ def plan(sized: DataFrame, weigh=None, share: float = SHARE, repeats: int = REPE
                 base = min(repeats, int(routed / r["size"] + 1e-9)) if r["size"] else 0
                 rows.append((r["pattern"], r["source"], base, float(routed - base * r["size"]) if base < repeats else 0.0))
         # As many rows as were collected.
-        routed = spark.createDataFrame(rows, "pattern string, source string, base int, extra double")
+        routed = local_table(spark, rows, "pattern string, source string, base int, extra double")
         joined = cells.alias("c").join(routed.alias("r"), (F.col("c.pattern") == F.col("r.pattern")) & F.col("c.source").eqNullSafe(F.col("r.source"))).select("c.*", "r.base", "r.extra")
         return written(joined.groupBy("pattern", "source").applyInPandas(_cut_cell, _CHOICE), "choice")
 
@@ -266,7 +266,7 @@ def plan(sized: DataFrame, weigh=None, share: float = SHARE, repeats: int = REPE
         if len(p) > 1:
             wanted[s] += words_
     choice = several.unionByName(cut(True, {s: wanted[s] - got.get(s, 0) for s in sources}))
-    totals = spark.createDataFrame([(s, int(size[s]), float(quotas[s])) for s in sources], "source string, source_size long, target double")
+    totals = local_table(spark, [(s, int(size[s]), float(quotas[s])) for s in sources], "source string, source_size long, target double")
     choice = choice.alias("c").join(totals.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source"))).select("c.*", "t.source_size", "t.target")
     return patterns.select("mark", "pattern"), written(choice, "choice")
 

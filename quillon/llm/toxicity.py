@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices, table, tidy
+from .common import as_bytes, local_table, slices, table, tidy
 
 SAMPLE = 8_000
 #: Bytes of their texts, together.
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes:
             fits[r["h"]] = r["doc_id"]
     if not fits:
         return train([], [])
-    wanted = docs.sparkSession.createDataFrame(list(fits.items()), "h long, doc_id long")
+    wanted = local_table(docs.sparkSession, list(fits.items()), "h long, doc_id long")
     rows = found.withColumn("h", F.xxhash64("text")).join(F.broadcast(wanted), ["doc_id", "h"]).dropDuplicates(["h"]).orderBy("h").select("text", "toxic").toArrow()
     return train(as_bytes(rows.column(0)), [int(x) for x in rows.column(1).to_pylist()])
 

@@ -272,6 +272,33 @@ def test_pipeline_cuts_boilerplate_at_any_share(spark, small):
     assert got[207] == "the whole text\nis a copy" and got[105] == "a copied line"
 
 
+def test_pipeline_sends_small_batches_and_starts_no_second_workers(spark, small):
+    import corpus_pipeline as P
+    import pyarrow as pa
+
+    from quillon.llm.common import BATCH_BYTES, local_table
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for stage in (P.drop_toxic, P.drop_near_copies, P.mix_sources, P.pack_sequences):
+            spark.conf.set(key, "64m")
+            stage(spark, frame(spark, [(i, f"some text {i}", "a") for i in range(3)]), small)
+            wide = spark.range(0, 9000, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("t"))
+            sizes = wide.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+            assert max(r.n for r in sizes) < BATCH_BYTES + 10_000 and sum(r.n for r in sizes) >= 18_000_000
+        spark.conf.set(key, "1m")
+        P.mix_sources(spark, frame(spark, []), small)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
+    rows = [("a", None, 1, 2.5), (None, "\u00e9", -1, 0.0)]
+    made = local_table(spark, rows, "p string, s string, n int, x double")
+    assert sorted(map(tuple, made.collect()), key=str) == sorted(rows, key=str)
+    assert "LocalRelation" in made._jdf.queryExecution().optimizedPlan().toString()
+    assert local_table(spark, [], "h long, s string").collect() == []
+
+
 def check_packed(rows, texts):
     """Pieces cover each text once, ids and places are right; returns the share of padding."""
     from tokenizers import Tokenizer
