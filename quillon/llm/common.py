@@ -74,6 +74,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, f"{BATCH_BYTES}b")
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """From now on shuffle files go when their job ends, not when the driver happens to collect its garbage.
+
+    Each step's rows are written, so none is needed again.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small table of the driver's.
 

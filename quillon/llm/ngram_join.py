@@ -332,14 +332,21 @@ def _late(percent: int, nearest: bool):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b, n_a, n_b) those with 100 * intersection >= percent * union."""
+    """Of pairs (a, b, n_a, n_b) those with 100 * intersection >= percent * union, written.
+
+    The sets are joined to one end and then to the other, each by a job of its own, so that they are not shuffled
+    for both at once.
+    """
     left = sets.select(F.col("node").alias("a"), "level", "frag", F.col("grams").alias("grams_a"))
     right = sets.select(F.col("node").alias("b"), "level", "frag", F.col("grams").alias("grams_b"))
     steps = F.expr(f"(greatest(n_a, n_b) - 1) div {FRAGMENT_GRAMS}")
     cut = pairs.withColumn("level", F.when(steps > 0, F.length(F.bin(steps))).otherwise(0))
-    partial = cut.join(left, ["a", "level"]).join(right, ["b", "level", "frag"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("part"))
+    half = written(cut.join(left, ["a", "level"]), "half")
+    partial = half.join(right, ["b", "level", "frag"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("part"))
     summed = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("shared"))
-    return summed.where(f"100 * shared >= {percent} * (n_a + n_b - shared)").select("a", "b")
+    links = written(summed.where(f"100 * shared >= {percent} * (n_a + n_b - shared)").select("a", "b"), "links")
+    drop_written(half)
+    return links
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -454,10 +461,10 @@ def ngram_rows(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", te
     pairs = possible(first)
     sets = sets_of(pairs)
     one = pairs.groupBy("b").agg(F.min(F.struct("a", "n_a", "n_b")).alias("p")).select("p.a", "b", "p.n_a", "p.n_b")
-    links = written(verified(one, sets, percent), "links")
+    links = verified(one, sets, percent)
     label = components(links)
     rest = written(apart(pairs, label).select("a", "b", "n_a", "n_b").join(one.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    more = written(verified(rest, sets, percent), "links")
+    more = verified(rest, sets, percent)
     if more.limit(1).count():
         links = links.union(more)
         label = components(links)
@@ -502,7 +509,9 @@ def ngram_rows(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", te
     for turn in (0, 1, None):
         late = late_round(turn)
         if late.limit(1).count():
-            late = written(verified(late, sets_of(late), percent), "links")
+            sets = sets_of(late)
+            late = verified(late, sets, percent)
+            drop_written(sets)
             if late.limit(1).count():
                 links = links.union(late)
                 label = components(links)

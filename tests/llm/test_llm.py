@@ -299,6 +299,29 @@ def test_pipeline_sends_small_batches_and_starts_no_second_workers(spark, small)
     assert local_table(spark, [], "h long, s string").collect() == []
 
 
+def test_pipeline_drops_shuffles_and_join_tables(spark, small):
+    import glob
+
+    import corpus_pipeline as P
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    words = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(40)]
+    rows = [(2 * i + c, t + " other end" * c, "a") for i, t in enumerate(words) for c in range(2)]
+    folder = spark.conf.get("spark.checkpoint.dir", "").removeprefix("file://")
+    try:
+        old = set(glob.glob(f"{folder}/quillon-*")) if folder else set()
+        spark.conf.set(key, "false")
+        kept = P.drop_near_copies(spark, frame(spark, rows), small)
+        assert spark.conf.get(key) == "true"
+        assert sorted(r.doc_id for r in kept.collect()) == [2 * i for i in range(40)]
+        folder = folder or spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+        new = {os.path.basename(f).split("-")[1] for f in set(glob.glob(f"{folder}/quillon-*")) - old}
+        assert "links" in new and not new & {"sets", "half", "keys", "known"}
+    finally:
+        spark.conf.set(key, before)
+
+
 def check_packed(rows, texts):
     """Pieces cover each text once, ids and places are right; returns the share of padding."""
     from tokenizers import Tokenizer
